@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality, toxicity
 from .html_text import extract_main_text
 from .warc import decide, read_archives, write_archives
-from .workspace import Workspace, table
+from .workspace import Workspace, fold, table
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,20 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 5) == 0
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score_toxicity(documents.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
+    model = quality.train(documents, table(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.score_quality(documents.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "warc")
     archives = work.stage(write_archives(decide(table(spark, sf_dir, "pages"))), "archives")
@@ -24,7 +39,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_html_text, op9_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_html_text, op2_toxicity, op6_quality, op9_warc)}
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
