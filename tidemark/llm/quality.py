@@ -90,12 +90,12 @@ def _descend(pos: np.ndarray, unl: np.ndarray, size: int, prior: float | None, s
         sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
         if prior is None:
             gp, gu = (sp - 1) / len(zp), su / len(zu)
-        else:
-            negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            if negative >= 0:
-                gp, gu = (prior * (sp - 1) - prior * sp) / len(zp), su / len(zu)
+        else:  # sigmoid loss: bounded, so confident positives can't outweigh the rest
+            dp, du = sp * (1 - sp) / len(zp), su * (1 - su) / len(zu)
+            if su.mean() - prior * sp.mean() >= 0:
+                gp, gu = -2 * prior * dp, du
             else:  # the corrected risk has run below zero: undo that part only
-                gp, gu = prior * sp / len(zp), -su / len(zu)
+                gp, gu = prior * dp, -du
         grad = np.bincount(pos.ravel(), weights=np.repeat(gp, pos.shape[1]), minlength=size) + np.bincount(unl.ravel(), weights=np.repeat(gu, unl.shape[1]), minlength=size)
         grad = np.append(grad + l2 * w, gp.sum() + gu.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2

@@ -1,6 +1,7 @@
 """Toxicity scores from a counterfactually regularised classifier.
 
-The model is a sparse logistic regression on the distinct words of a text. Besides the labels it is shown, for every training
+The model is a sparse logistic regression on the distinct words of a text and on how often its words begin alike (stems of
+four to seven letters, as a share of all words). Besides the labels it is shown, for every training
 text that names a group of people, the same text with that name swapped for another of its kind; the squared change of the
 score is penalised. A group's name alone therefore moves no score, so neutral mentions stay clean.
 
@@ -11,7 +12,9 @@ are scored alike, one by one; without any usable label, or with one class only,
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from math import exp
 
 import numpy as np
 import pandas as pd
@@ -37,9 +40,20 @@ def word_id(word: str) -> int:
     return xxhash.xxh32_intdigest(word)
 
 
-def word_ids(text: str | None) -> list[int]:
-    """Ids of the distinct lower-case words."""
-    return [word_id(w) for w in set(WORD.findall((text or "").lower()))]
+#: Lengths of the stems; a stem's value reaches 1 when one word in STEM_SHARE begins with it.
+STEMS, STEM_SHARE = (4, 5, 6, 7), 50
+
+
+def text_features(text: str | None) -> tuple[list[int], list[float]]:
+    """Ids and values: 1 for each distinct lower-case word, the scaled share for each stem that begins two words or more."""
+    words = WORD.findall((text or "").lower())
+    counts = Counter(words)
+    stems: Counter[str] = Counter()
+    for w, n in counts.items():
+        for k in STEMS[: max(0, len(w) - 3)]:
+            stems[w[:k]] += n
+    common = [(s, min(1.0, STEM_SHARE * n / len(words))) for s, n in stems.items() if n > 1]
+    return [word_id(w) for w in counts] + [word_id("^" + s) for s, _ in common], [1.0] * len(counts) + [v for _, v in common]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -53,24 +67,31 @@ class ToxicityModel:
         self.weights, self.intercept = weights, intercept
 
     def scorer(self):
-        """text -> score, for one worker: remembers the weights of words it has seen, up to a bound."""
-        known: dict[str, float] = {}
+        """text -> score, for one worker: remembers which weights a word touches, up to a bound."""
+        known: dict[str, tuple[float, tuple[tuple[int, float], ...]]] = {}
+
+        def look_up(w: str) -> tuple[float, tuple[tuple[int, float], ...]]:
+            stems = ((k, self.weights.get(word_id("^" + w[:k]), 0.0)) for k in STEMS[: max(0, len(w) - 3)])
+            found = self.weights.get(word_id(w), 0.0), tuple((k, v) for k, v in stems if v)
+            if len(known) < 200_000:
+                known[w] = found
+            return found
 
         def score(text: str | None) -> float:
-            z = self.intercept
-            for w in set(WORD.findall((text or "").lower())):
-                v = known.get(w)
-                if v is None:
-                    v = self.weights.get(word_id(w), 0.0)
-                    if len(known) < 200_000:
-                        known[w] = v
-                z += v
-            return float(1 / (1 + np.exp(-min(30.0, max(-30.0, z)))))
+            z, words = self.intercept, WORD.findall((text or "").lower())
+            stems: dict[str, list[float]] = {}
+            for w, n in Counter(words).items():
+                own, parts = known.get(w) or look_up(w)
+                z += own
+                for k, v in parts:
+                    stems.setdefault(w[:k], [0, v])[0] += n
+            z += sum(v * min(1.0, STEM_SHARE * n / len(words)) for n, v in stems.values() if n > 1)
+            return 1 / (1 + exp(-min(30.0, max(-30.0, z))))
 
         return score
 
 
-def fit(ids: list[np.ndarray], y: np.ndarray, features: int = 3000, l1: float = 3e-4, swap_penalty: float = 4.0, steps: int = 400) -> ToxicityModel:
+def fit(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, features: int = 3000, l1: float = 3e-4, swap_penalty: float = 4.0, steps: int = 400) -> ToxicityModel:
     """Proximal gradient descent on log loss + swap_penalty * mean squared score change + l1 * |w|."""
     base = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.5
     start = float(np.log(base / (1 - base)))
@@ -78,8 +99,9 @@ def fit(ids: list[np.ndarray], y: np.ndarray, features: int = 3000, l1: float =
         return ToxicityModel({}, start)
     row = np.repeat(np.arange(len(ids)), [len(a) for a in ids])
     words, col = np.unique(np.concatenate(ids), return_inverse=True)
-    seen = np.bincount(col, minlength=len(words))
-    toxic = np.bincount(col, weights=y[row], minlength=len(words))
+    x = np.concatenate(values).astype(float)
+    seen = np.bincount(col, weights=x, minlength=len(words))
+    toxic = np.bincount(col, weights=x * y[row], minlength=len(words))
     # Words by how far their share of label 1 lies from the mean, in standard errors.
     strength = np.abs(toxic - base * seen) / np.sqrt(seen * base * (1 - base) + 1)
     strength[seen < 3] = 0
@@ -91,7 +113,7 @@ def fit(ids: list[np.ndarray], y: np.ndarray, features: int = 3000, l1: float =
     place = np.full(len(words), -1)
     place[chosen] = np.arange(len(chosen))
     keep = place[col] >= 0
-    row, col = row[keep], place[col[keep]]
+    row, col, x = row[keep], place[col[keep]], x[keep]
     n, d = len(ids), len(chosen)
     # One swap for each (text, name): to the next name of its kind that the corpus knows, or to a word without weight.
     at = {int(w): int(place[k]) for k, w in enumerate(words) if names[k] and place[k] >= 0}
@@ -105,23 +127,23 @@ def fit(ids: list[np.ndarray], y: np.ndarray, features: int = 3000, l1: float =
     # The step is bounded by the largest eigenvalue of X'X / 4n, found by a few power iterations, and the penalty's curvature.
     probe = np.ones(d + 1)
     for _ in range(8):
-        z = np.bincount(row, weights=probe[col], minlength=n) + probe[d]
-        probe = np.append(np.bincount(col, weights=z[row], minlength=d), z.sum())
+        z = np.bincount(row, weights=x * probe[col], minlength=n) + probe[d]
+        probe = np.append(np.bincount(col, weights=x * z[row], minlength=d), z.sum())
         norm = np.linalg.norm(probe)
         probe /= norm or 1
     rate, t = 1 / (norm / (4 * n) * 1.3 + swap_penalty * 2 + 1e-9), 1.0
     for _ in range(steps):
-        z = np.bincount(row, weights=v[col], minlength=n) + c
+        z = np.bincount(row, weights=x * v[col], minlength=n) + c
         p = _sigmoid(z)
         error = (p - y) / n
-        grad, grad_b = np.bincount(col, weights=error[row], minlength=d), error.sum()
+        grad, grad_b = np.bincount(col, weights=x * error[row], minlength=d), error.sum()
         if len(swap_row):
             change = np.where(into >= 0, v[into], 0.0) - v[out]
             q0, q1 = p[swap_row], _sigmoid(z[swap_row] + change)
             gap = 2 * swap_penalty * (q1 - q0) / len(swap_row)
             d0, d1 = gap * q0 * (1 - q0), gap * q1 * (1 - q1)
             both = np.bincount(swap_row, weights=d1 - d0, minlength=n)
-            grad += np.bincount(col, weights=both[row], minlength=d)
+            grad += np.bincount(col, weights=x * both[row], minlength=d)
             grad_b += both.sum()
             grad -= np.bincount(out, weights=d1, minlength=d)
             grad += np.bincount(into[into >= 0], weights=d1[into >= 0], minlength=d)
@@ -137,13 +159,14 @@ def fit(ids: list[np.ndarray], y: np.ndarray, features: int = 3000, l1: float =
 def train(documents: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic", training_rows: int = 12_000) -> ToxicityModel:
     """Fit on at most training_rows labelled documents for which learn holds. Only their word ids reach the driver."""
 
-    def ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "ids": [np.array(word_ids(t), dtype=np.uint32).tobytes() for t in b["text"]]})
+            both = [text_features(t) for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "ids": [np.array(i, dtype=np.uint32).tobytes() for i, _ in both], "x": [np.array(v, dtype=np.float32).tobytes() for _, v in both]})
 
-    rows = texts_of(documents, labelled(labels, target, learn, training_rows)).mapInPandas(ids, "doc_id long, y double, ids binary").toPandas()
-    rows = rows.drop_duplicates().sort_values(["doc_id", "ids"], kind="stable")
-    return fit([np.frombuffer(x, dtype=np.uint32) for x in rows["ids"]], (rows["y"] >= 0.5).to_numpy(float))
+    chosen = texts_of(documents, labelled(labels, target, learn, training_rows))
+    rows = chosen.mapInPandas(measure, "doc_id long, y double, ids binary, x binary").toPandas().drop_duplicates().sort_values(["doc_id", "ids"], kind="stable")
+    return fit([np.frombuffer(i, dtype=np.uint32) for i in rows["ids"]], [np.frombuffer(v, dtype=np.float32) for v in rows["x"]], (rows["y"] >= 0.5).to_numpy(float))
 
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel) -> DataFrame:
