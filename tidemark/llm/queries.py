@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, toxicity
+from . import quality, secrets, toxicity
+from .decontamination import contained_items
 from .html_text import extract_main_text
+from .packing import pack
 from .warc import decide, read_archives, write_archives
 from .workspace import Workspace, fold, table
 
@@ -25,6 +27,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.findings(table(spark, sf_dir, "documents"), secrets.train(secrets.example_findings(spark)))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("cluster")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
     model = quality.train(documents, table(spark, sf_dir, "labels"), ~held_out)
@@ -32,6 +42,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "warc")
     archives = work.stage(write_archives(decide(table(spark, sf_dir, "pages"))), "archives")
@@ -39,7 +53,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_html_text, op2_toxicity, op6_quality, op9_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_secrets, op5_packing, op6_quality, op7_decontamination, op9_warc)}
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
