@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, secrets, toxicity
+from . import pivot_index, quality, secrets, toxicity
 from .decontamination import contained_items
 from .html_text import extract_main_text
 from .packing import pack
+from .token_counts import UnigramVocabulary, count_tokens
 from .warc import decide, read_archives, write_archives
 from .workspace import Workspace, fold, table
 
@@ -31,6 +32,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.findings(table(spark, sf_dir, "documents"), secrets.train(secrets.example_findings(spark)))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = pivot_index.quantised(table(spark, sf_dir, "embeddings"))
+    return pivot_index.top_k(vectors, F.col("id") % 100 == 0)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("cluster")
 
@@ -46,6 +52,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "/opt/tokenizers/piece_bpe_32k.model") -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(documents, UnigramVocabulary.load(vocabulary)).select("doc_id", "n_tokens")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "warc")
     archives = work.stage(write_archives(decide(table(spark, sf_dir, "pages"))), "archives")
@@ -53,7 +64,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_secrets, op5_packing, op6_quality, op7_decontamination, op9_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_secrets, op4_top_k, op5_packing, op6_quality, op7_decontamination, op8_token_counts, op9_warc)}
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
