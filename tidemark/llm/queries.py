@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import pivot_index, quality, secrets, toxicity
 from .decontamination import contained_items
 from .html_text import extract_main_text
+from .jaccard_join import near_duplicates
 from .packing import pack
 from .token_counts import UnigramVocabulary, count_tokens
 from .warc import decide, read_archives, write_archives
@@ -64,7 +65,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_secrets, op4_top_k, op5_packing, op6_quality, op7_decontamination, op8_token_counts, op9_warc)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_html_text, op2_toxicity, op3_secrets, op4_top_k, op5_packing, op6_quality, op7_decontamination, op8_token_counts, op9_warc, op10_jaccard_join)}
 
 #: DuckDB SQL for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
