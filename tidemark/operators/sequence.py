@@ -45,7 +45,7 @@ def index_runs(df: DataFrame, by: list[str], seq: str = "seq", chunk: int = CHUN
     """Runs of consecutive sequence numbers: (by, first_seq, last_seq, n)."""
     rows = df.select(*by, seq).distinct()
     previous = carry_last(rows, F.col(seq), "_previous", by, seq, chunk, before=True)
-    starts = F.when(F.col("_previous").isNull() | (F.col("_previous") <> F.col(seq) - 1), 1).otherwise(0)
+    starts = F.when(F.col("_previous").isNull() | (F.col("_previous") != F.col(seq) - 1), 1).otherwise(0)
     numbered = running_sum(previous, starts, "_run", by, seq, chunk)
     return numbered.groupBy(*by, "_run").agg(F.min(seq).alias("first_seq"), F.max(seq).alias("last_seq"), F.count(F.lit(1)).alias("n")).drop("_run")
 
