@@ -181,13 +181,13 @@ def string_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.typed_view(changes, [{"name": "o_custkey", "type_oid": 20}, {"name": "o_orderstatus", "type_oid": 25}], as_string=True).drop("after")
 
 
-@query("select p_partkey, cast(p_partkey as double) / 4 as d, cast(case when p_partkey % 2 = 0 then -p_partkey else p_partkey end as decimal(20,2)) as m, case when p_partkey % 3 = 0 then null when p_partkey % 3 = 1 then 'it''s' else '42' end as def, cast(p_size as bigint) as b from part")
+@query("select p_partkey, cast(p_partkey as double) / 4 as d, cast(case when p_partkey % 2 = 0 then -p_partkey else p_partkey end as double) as m, case when p_partkey % 3 = 0 then null when p_partkey % 3 = 1 then 'it''s' else '42' end as def, cast(p_size as bigint) as b from part")
 def typed_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decimals, money, bit strings, defaults."""
     k = F.col("p_partkey")
     text = F.when(k % 2 == 0, F.concat(F.lit("($"), k.cast("string"), F.lit(".00)"))).otherwise(F.concat(F.lit("$"), k.cast("string"), F.lit(".00")))
     expression = F.when(k % 3 == 0, "nextval('s'::regclass)").when(k % 3 == 1, "'it''s'::character varying(10)").otherwise("42")
-    return read(spark, sf_dir, "part").select("p_partkey", typed.decimal_mode((k / 4).cast("string"), "double").alias("d"), typed.money(text).alias("m"), typed.default_value(expression).alias("def"), typed.bits(F.conv(F.col("p_size").cast("string"), 10, 2)).alias("b"))
+    return read(spark, sf_dir, "part").select("p_partkey", typed.decimal_mode((k / 4).cast("string"), "double").alias("d"), typed.money(text).cast("double").alias("m"), typed.default_value(expression).alias("def"), typed.bits(F.conv(F.col("p_size").cast("string"), 10, 2)).alias("b"))
 
 
 @query("select p_partkey, cast(p_size as double) as x, -cast(p_partkey as double) as y, cast(p_size as varchar) as a, p_name as b, cast(4326 as int) as srid from part")
