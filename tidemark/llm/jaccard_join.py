@@ -1,9 +1,11 @@
 """Exact n-gram Jaccard join and its groups, by signature trees.
 
 1. Texts with equal shingle sets form classes; the smallest doc_id stands for its class.
-2. Each class sends the prefix of its set (tokens that many texts share come last, else in hash order) to those tokens' groups.
-   Two similar sets meet in at least one group, whatever the order: nothing is lost.
-3. In each group neighbours in size order are compared and links found; classes linked so far share a component.
+2. Each class sends the prefix of its set to those tokens' groups. Two similar sets meet in at least one group, whatever the
+   order of tokens: nothing is lost. Tokens go in hash order, but those known to be shared later and very common ones last, so
+   that groups are few and small; a filter of fixed size knows them. Tokens of one class alone end here.
+3. In each group neighbours in size order are candidates; each class checks those it meets most often. Classes linked so far
+   share a component.
 4. Groups that still hold several components are searched by signature trees (groups beyond cell_rows in cells, pair of cells
    by pair of cells): a dual traversal with labels, size ranges and OR-combined bitmaps leaves the pairs to be verified on the
    exact sets. Pairs within one component are skipped: the groups are those of the full graph of links, though copies and
@@ -27,107 +29,236 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import contract
-from .shingle_sets import BITMAP, bitmap, identity, prefix_length, shingle_set, similar
+from .shingle_sets import bitmap, identity, may_be_similar, prefix_length, shingle_set, similar
 from .signature_tree import SignatureTree, possible_pairs
 from .workspace import Workspace
 
 #: Tokens that a task counts at a time, and how often it must have met one to report it.
-COUNTED, REPORTED = 4_000_000, 4
+COUNTED, REPORTED = 1_000_000, 3
+#: Classes that a task remembers to have sent.
+REMEMBERED = 500_000
+#: Bits of the filter of shared tokens: its size is fixed, whatever the corpus.
+FILTER_BITS = 1 << 27
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, so that a task holds few sets at a time."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
+def _longs(values: np.ndarray | list) -> pa.Array:
+    return pa.array(values, pa.int64())
+
+
 def _measure(texts: DataFrame) -> DataFrame:
-    """A row per document (doc_id, n, c1, c2, bits), and rows (token, times) for tokens that are frequent within a task."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("c1", pa.int64()), ("c2", pa.int64()), ("bits", pa.binary()), ("token", pa.int64()), ("times", pa.int64())])
+    """A row per document (doc_id, n, c1, c2), and rows (token, times) for tokens that are frequent within a task.
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+    Only tokens in the first two fifths of a set in hash order are counted: later ones hardly enter a prefix.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("c1", pa.int64()), ("c2", pa.int64()), ("token", pa.int64()), ("times", pa.int64())])
 
-        def frequent() -> pa.RecordBatch:
-            token, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            on = times >= REPORTED
-            k, none = int(on.sum()), lambda kind: pa.nulls(int(on.sum()), kind)
-            return pa.RecordBatch.from_arrays([none(f.type) for f in list(schema)[:5]] + [pa.array(token[on].view(np.int64)), pa.array(times[on])] if k else [pa.array([], f.type) for f in schema], schema=schema)
+    def frequent(held: list[np.ndarray]) -> pa.RecordBatch:
+        token, times = np.unique(np.concatenate(held), return_counts=True)
+        on = times >= REPORTED
+        none = [pa.nulls(int(on.sum()), f.type) for f in list(schema)[:4]]
+        return pa.RecordBatch.from_arrays([*none, _longs(token[on].view(np.int64)), _longs(times[on])], schema=schema)
 
-        for b in batches:
-            sets = [shingle_set(t.as_py()) for t in b.column(1)]
-            names = [identity(s) for s in sets]
-            none = pa.nulls(b.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([x for x, _ in names], pa.int64()), pa.array([x for _, x in names], pa.int64()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary()), none, none],
-                schema=schema,
-            )
-            for s in sets:
-                held.append(s)
-                size += len(s)
-                if size >= COUNTED:
-                    yield frequent()
-                    held, size = [], 0
-        yield frequent()
-
-    return texts.mapInArrow(measure, "doc_id long, n int, c1 long, c2 long, bits binary, token long, times long")
-
-
-def _prefixes(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
-    """(doc_id, n, tokens): the prefix of each set, common tokens last."""
-    shared = texts.sparkSession.sparkContext.broadcast(common)
-
-    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = shared.value
-        for b in batches:
-            sizes, out = [], []
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in _small(batches):
+            sizes, names = [], []
             for t in b.column(1):
                 s = shingle_set(t.as_py())
                 sizes.append(len(s))
-                if len(s):
-                    if len(last):
-                        late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s
-                        s = np.concatenate([s[~late], s[late]])
-                    s = s[: prefix_length(len(s), percent)]
-                out.append(s.view(np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in out])]).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out) if out else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), tokens], names=["doc_id", "n", "tokens"])
-
-    return texts.mapInArrow(prefix, "doc_id long, n int, tokens array<long>")
+                names.append(identity(s))
+                held.append(s[: len(s) * 2 // 5 + 1])
+                size += len(held[-1])
+            none = pa.nulls(b.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), _longs([x for x, _ in names]), _longs([x for _, x in names]), none, none], schema=schema)
+            if size >= COUNTED:
+                yield frequent(held)
+                held, size = [], 0
+        if held:
+            yield frequent(held)
+
+    return texts.mapInArrow(measure, "doc_id long, n int, c1 long, c2 long, token long, times long")
+
+
+def _range_of(tokens: np.ndarray, ranges: int) -> np.ndarray:
+    return ((tokens * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)) % np.uint64(ranges)
+
+
+def _member(sorted_tokens: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    if not len(sorted_tokens):
+        return np.zeros(len(tokens), dtype=bool)
+    return sorted_tokens[np.minimum(np.searchsorted(sorted_tokens, tokens), len(sorted_tokens) - 1)] == tokens
+
+
+class _NewClasses:
+    """Which sets a task hasn't met yet, as far as it remembers."""
+
+    def __init__(self) -> None:
+        self.sent: set[int] = set()
+
+    def __call__(self, name: int) -> bool:
+        if name in self.sent:
+            return False
+        if len(self.sent) >= REMEMBERED:
+            self.sent.clear()
+        self.sent.add(name)
+        return True
+
+
+def _packed(at: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """Columns cut by range and packed."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    starts = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
+    cuts = list(zip(starts, np.append(starts[1:], len(at)), strict=True))
+    return [pa.array(at[starts].astype(np.int32)), *(pa.array([v[i:j].tobytes() for i, j in cuts], pa.binary()) for v in (c[order] for c in columns))]
+
+
+def _ranges_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    """(range, packed columns, each joined) of rows sorted by range."""
+    at, held = None, []
+    for b in batches:
+        for r, *parts in zip(*(b.column(k).to_pylist() for k in range(b.num_columns)), strict=True):
+            if r != at and held:
+                yield at, [b"".join(c) for c in zip(*held, strict=True)]
+                held = []
+            at = r
+            held.append(parts)
+    if held:
+        yield at, [b"".join(c) for c in zip(*held, strict=True)]
+
+
+def _shared_filter(texts: DataFrame, ranges: int) -> np.ndarray:
+    """Bits, by range, of tokens that several classes hold among the first two fifths of their sets."""
+    bits = FILTER_BITS // ranges // 8 * 8
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new = _NewClasses()
+        for b in _small(batches):
+            sets = [s for s in (shingle_set(t.as_py()) for t in b.column(1)) if len(s) and new(identity(s)[0])]
+            if sets:
+                token = np.concatenate([s[: len(s) * 2 // 5 + 1] for s in sets])
+                yield pa.RecordBatch.from_arrays(_packed(_range_of(token, ranges), token), names=["range", "tokens"])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r, (tokens,) in _ranges_of(batches):
+            token = np.sort(np.frombuffer(tokens, np.uint64))
+            twice = token[1:][token[1:] == token[:-1]]
+            on = np.zeros(bits, dtype=bool)
+            on[((twice >> np.uint64(8)) % np.uint64(bits)).astype(np.int64)] = True
+            yield pa.RecordBatch.from_pydict({"range": pa.array([r], pa.int32()), "bits": pa.array([np.packbits(on, bitorder="little").tobytes()], pa.binary())})
+
+    marked = texts.mapInArrow(spread, "range int, tokens binary").repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(mark, "range int, bits binary")
+    out = np.zeros((ranges, bits // 8), dtype=np.uint8)
+    for row in marked.toLocalIterator():
+        out[row["range"]] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def _postings(texts: DataFrame, common: np.ndarray, shared: np.ndarray, percent: int) -> DataFrame:
+    """(token, class, n, m): the prefix tokens that m > 1 classes share, and those classes.
+
+    Tokens travel packed, by range of their mixed hash; a task sends each class once, so that exact copies, however many,
+    add a row per task. Very common tokens are dealt over several ranges by class; these keep all their rows.
+    """
+    ranges, bits = shared.shape[0], np.uint64(shared.shape[1] * 8)
+    known = texts.sparkSession.sparkContext.broadcast((common, shared))
+
+    def prefix(s: np.ndarray) -> np.ndarray:
+        common, shared = known.value
+        place = (s >> np.uint64(8)) % bits
+        late = (shared[_range_of(s, ranges).astype(np.int64), (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
+        last = _member(common, s)
+        rank = np.where(last, 2, late)
+        size = prefix_length(len(s), percent)
+        return s[np.argsort(rank, kind="stable")[:size]] if rank.any() else s[:size]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new = _NewClasses()
+        for b in _small(batches):
+            tokens, classes, sizes = [], [], []
+            for t in b.column(1):
+                s = shingle_set(t.as_py())
+                if len(s) and new(own := identity(s)[0]):
+                    tokens.append(prefix(s))
+                    classes.append(own)
+                    sizes.append(len(s))
+            if not tokens:
+                continue
+            each = np.array([len(t) for t in tokens])
+            token, cls, size = np.concatenate(tokens), np.repeat(np.array(classes, np.int64), each), np.repeat(np.array(sizes, np.int32), each)
+            moved = np.where(_member(known.value[0], token), cls.view(np.uint64) & np.uint64(7), np.uint64(0))
+            yield pa.RecordBatch.from_arrays(_packed((_range_of(token, ranges) + moved) % np.uint64(ranges), token, cls, size), names=["range", "tokens", "classes", "sizes"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, columns in _ranges_of(batches):
+            token, cls, size = (np.frombuffer(c, kind) for c, kind in zip(columns, (np.uint64, np.int64, np.int32), strict=True))
+            order = np.lexsort((cls, token))
+            token, cls, size = token[order], cls[order], size[order]
+            new = np.concatenate([[True], (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])])
+            token, cls, size = token[new], cls[new], size[new]
+            starts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1])
+            times = np.diff(np.append(starts, len(token)))
+            m, hot = np.repeat(times, times), _member(known.value[0], token)
+            m, keep = np.where(hot, m * 8, m), (m > 1) | hot
+            yield pa.RecordBatch.from_arrays([_longs(token[keep].view(np.int64)), _longs(cls[keep]), pa.array(size[keep], pa.int32()), _longs(m[keep])], names=["token", "class", "n", "m"])
+
+    packed = texts.mapInArrow(spread, "range int, tokens binary, classes binary, sizes binary")
+    return packed.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(meet, "token long, class long, n int, m long")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t.as_py()).tobytes() for t in b.column(1)], pa.binary())], names=["doc_id", "tokens"])
+        for b in _small(batches):
+            sets = [shingle_set(t.as_py()) for t in b.column(1)]
+            columns = [pa.array([len(s) for s in sets], pa.int32()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["doc_id", "n", "bits", "tokens"])
 
-    return texts.mapInArrow(whole, "doc_id long, tokens binary")
+    return texts.mapInArrow(whole, "doc_id long, n int, bits binary, tokens binary")
 
 
-def _verified(work: Workspace, texts: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) whose exact sets are similar, staged."""
-    pairs = work.stage(pairs.distinct(), f"{name}-pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = work.stage(_sets(texts.join(wanted, "doc_id", "left_semi")), f"{name}-sets")
+def _verified(work: Workspace, sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
+    """The pairs (a, b) whose exact sets are similar, staged. Bitmaps meet first, whole sets only where those leave a chance."""
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(b.column(2), b.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    def each(test):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in _small(batches):
+                ok = [test(np.frombuffer(x, np.uint64), n, np.frombuffer(y, np.uint64), m) for x, n, y, m in zip(*(b.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], schema=PAIRS).filter(pa.array(ok, pa.bool_()))
 
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y")), "b")
-    links = work.stage(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long"), f"{name}-links")
-    work.drop(f"{name}-sets")
-    work.drop(f"{name}-pairs")
+        return run
+
+    def beside(left: DataFrame, column: str) -> DataFrame:
+        one = sets.select(F.col("doc_id").alias("a"), F.col(column).alias("x"), F.col("n").alias("nx"))
+        other = sets.select(F.col("doc_id").alias("b"), F.col(column).alias("y"), F.col("n").alias("ny"))
+        return left.join(one, "a").join(other, "b").select("a", "b", "x", "nx", "y", "ny")
+
+    close = work.stage(beside(pairs.distinct(), "bits").mapInArrow(each(lambda x, n, y, m: may_be_similar(x, n, y, m, percent)), "a long, b long"), f"{name}-close")
+    links = work.stage(beside(close, "tokens").mapInArrow(each(lambda x, n, y, m: similar(x, y, percent)), "a long, b long").distinct(), f"{name}-links")
+    work.drop(f"{name}-close")
     return links
 
 
-def _neighbours(postings: DataFrame, percent: int, cell_rows: int) -> DataFrame:
-    """Pairs of neighbours by size in each token's group (in cells of it, where it is large)."""
+def _neighbours(postings: DataFrame, percent: int, cell_rows: int, best: int) -> DataFrame:
+    """Pairs of neighbours by size in the groups (in cells of them, where they are large): for each class the best most frequent."""
     cell = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.ceil(F.col("m") / cell_rows))
     order = Window.partitionBy("token", cell).orderBy("n", "doc_id")
     near = postings.withColumn("b", F.lag("doc_id").over(order)).withColumn("nb", F.lag("n").over(order))
     near = near.where((F.col("b") != F.col("doc_id")) & (F.col("nb") * 100 >= F.col("n") * percent))
-    return near.select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
+    counted = near.groupBy(F.col("doc_id").alias("a"), "b").agg(F.count(F.lit(1)).alias("times"))
+    ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("times"), "b")))
+    return ranked.where(F.col("rank") <= best).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _chained(postings: DataFrame, percent: int, cell_rows: int, turn: int) -> DataFrame:
@@ -140,82 +271,79 @@ def _chained(postings: DataFrame, percent: int, cell_rows: int, turn: int) -> Da
 
 
 def _searched(postings: DataFrame, percent: int, cell_rows: int) -> DataFrame:
-    """Pairs of different components that signature trees leave open, group by group."""
+    """Pairs of different components that signature trees leave open, group by group. postings have root and bits."""
     cells = F.ceil(F.col("m") / cell_rows).cast("int")
-    cell = F.pmod(F.xxhash64("doc_id", F.lit(5)), cells).cast("int")
+    cell = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("cells")).cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("cells") - 1), lambda d: F.struct(F.least(F.col("cell"), d).alias("lo"), F.greatest(F.col("cell"), d).alias("hi")))
     rows = postings.withColumn("cells", cells).withColumn("cell", cell).withColumn("meet", F.explode(meets))
     rows = rows.select("token", F.col("meet.lo").alias("lo"), F.col("meet.hi").alias("hi"), "cell", "n", "doc_id", "root", "bits")
     rows = rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "cell", "n", "doc_id")
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def pairs() -> pa.RecordBatch:
-            cell = np.concatenate([h[0] for h in held])
-            columns = [np.concatenate([h[k] for h in held]) for k in (1, 2, 3, 4)]
-            split = int(np.searchsorted(cell, key[1], side="right"))
-            trees = []
-            for part in ([slice(0, len(cell))] if key[1] == key[2] else [slice(0, split), slice(split, len(cell))]):
-                n, ids, root, bits = (c[part] for c in columns)
-                if len(n):
-                    trees.append((ids, SignatureTree(root, n, bits)))
-            if key[1] != key[2] and len(trees) < 2:
-                return pa.RecordBatch.from_pydict({"a": [], "b": []}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-            (ids_a, a), (ids_b, b) = trees[0], trees[-1]
-            found = possible_pairs(a, b, percent)
-            x = np.concatenate([ids_a[p] for p, _ in found]) if found else np.zeros(0, np.int64)
-            y = np.concatenate([ids_b[q] for _, q in found]) if found else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+    def pairs(key: tuple, held: list[tuple]) -> pa.RecordBatch:
+        cell, n, ids, root = (np.concatenate([h[k] for h in held]) for k in range(4))
+        bits = [np.frombuffer(x, np.uint64) for h in held for x in h[4]]
+        split = int(np.searchsorted(cell, key[1], side="right"))
+        parts = [slice(0, len(cell))] if key[1] == key[2] else [slice(0, split), slice(split, len(cell))]
+        trees = [(ids[p], SignatureTree(root[p], n[p], bits[p])) for p in parts if len(ids[p])]
+        if len(trees) < len(parts):
+            return pa.RecordBatch.from_pydict({"a": [], "b": []}, schema=PAIRS)
+        (ids_a, a), (ids_b, b) = trees[0], trees[-1]
+        found = possible_pairs(a, b, percent)
+        x = np.concatenate([ids_a[p] for p, _ in found]) if found else np.zeros(0, np.int64)
+        y = np.concatenate([ids_b[q] for _, q in found]) if found else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([_longs(np.minimum(x, y)), _longs(np.maximum(x, y))], schema=PAIRS)
 
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, ready = None, [], []
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
             ends = np.append(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, len(keys))
             cell, n, ids, root = (batch.column(k).to_numpy() for k in (3, 4, 5, 6))
-            bits = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.int64).reshape(-1, BITMAP)
-            start = 0
+            bits, start = batch.column(7).to_pylist(), 0
             for end in ends:
                 here = tuple(int(v) for v in keys[start])
                 if here != key and held:
-                    yield pairs()
+                    ready.append(pairs(key, held))
                     held = []
                 key = here
                 held.append((cell[start:end], n[start:end].astype(np.int64), ids[start:end], root[start:end], bits[start:end]))
                 start = end
+            yield from pa.Table.from_batches(ready, PAIRS).combine_chunks().to_batches()
+            ready = []
         if held:
-            yield pairs()
+            yield pairs(key, held)
 
     return rows.mapInArrow(search, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame, percent: int = 80, common_over: int = 64, common_tokens: int = 200_000, cell_rows: int = 4096) -> DataFrame:
+def near_duplicates(documents: DataFrame, percent: int = 80, common_over: int = 64, common_tokens: int = 200_000, cell_rows: int = 4096, range_documents: int = 4000) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of documents."""
     spark, texts = documents.sparkSession, _texts(documents)
     work = Workspace(spark, "jaccard-join")
     measured = work.stage(_measure(texts), "measured")
-    own = measured.where("n is not null").select("doc_id", "n", "c1", "c2", "bits")
+    own = measured.where("n is not null").select("doc_id", "n", "c1", "c2")
     classes = work.stage(own.where("n > 0 and doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id")), "classes")
     # The order of tokens is free; this bounded list only keeps groups small.
     listed = measured.where("token is not null").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") > common_over).orderBy(F.desc("times"), "token").limit(common_tokens)
     common = np.sort(np.array([r["token"] for r in listed.select("token").toLocalIterator()], dtype=np.int64).view(np.uint64))
-    prefixes = _prefixes(texts, common, percent).join(classes.select("doc_id"), "doc_id", "left_semi")
-    each = prefixes.select(F.explode("tokens").alias("token"), "doc_id", "n")
-    sized = each.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
-    postings = work.stage(sized, "postings")
-    links = _verified(work, texts, _neighbours(postings, percent, cell_rows), percent, "neighbours")
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), own.count() // range_documents)
+    met = work.stage(_postings(texts, common, _shared_filter(texts, ranges), percent), "met")
+    postings = met.join(classes.select(F.col("c1").alias("class"), "doc_id"), "class").select("token", "doc_id", "n", "m")
+    sets = work.stage(_sets(texts.join(postings.select("doc_id").distinct(), "doc_id", "left_semi")), "sets")
+    links = _verified(work, sets, _neighbours(postings, percent, cell_rows, best=2), percent, "neighbours")
     for turn in (1, 2):
         roots = contract(work, links, f"roots-{turn}")
         labelled = postings.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+        labelled = work.stage(labelled, f"labelled-{turn}")
         several = labelled.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
         open_groups = labelled.join(several, "token", "left_semi")
-        if turn == 1:
-            more = _chained(open_groups, percent, cell_rows, turn)
-        else:
-            bits = own.select("doc_id", "bits").join(classes.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            more = _searched(open_groups.join(bits, "doc_id"), percent, cell_rows)
-        links = work.stage(links.unionByName(_verified(work, texts, more, percent, f"turn-{turn}")), f"links-{turn}")
+        more = _chained(open_groups, percent, cell_rows, turn) if turn == 1 else _searched(open_groups.join(sets.select("doc_id", "bits"), "doc_id"), percent, cell_rows)
+        links = work.stage(links.unionByName(_verified(work, sets, more, percent, f"turn-{turn}")), f"links-{turn}")
+        work.drop(f"labelled-{turn}")
+    work.drop("sets")
+    work.drop("met")
     roots = contract(work, links, "groups")
     labelled = classes.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -6,23 +6,28 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-#: 64-bit words of a bitmap.
-BITMAP = 16
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _EMPTY = np.zeros(0, dtype=np.uint64)
 
 
-class _WordHashes(dict):
-    """Hashes of the words a worker has seen, up to a bound."""
+#: A random number for each byte, A-Z as a-z; a word's hash is a polynomial over them, modulo 2^64.
+_BYTES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BYTES[65:91] = _BYTES[97:123]
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0xD1342543DE82EF95
+#: Texts are hashed in stretches of so many bytes, or of one word.
+STRETCH = 1 << 16
+_POWERS = _INVERSE = np.ones(0, dtype=np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
 
-
-_HASHES = _WordHashes()
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse."""
+    global _POWERS, _INVERSE
+    if len(_POWERS) < n:
+        size = max(n, STRETCH)
+        _POWERS, _INVERSE = (np.multiply.accumulate(np.append(np.uint64(1), np.full(size - 1, x, dtype=np.uint64))) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+    return _POWERS, _INVERSE
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -31,29 +36,89 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _word_hashes(text: np.ndarray) -> np.ndarray:
+    """Hashes of the words of a stretch, in order."""
+    blank = _BLANK[text]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edges = np.concatenate([[0], edges])
+    if not blank[-1]:
+        edges = np.concatenate([edges, [len(text)]])
+    powers, inverse = _powers(len(text) + 1)
+    sums = np.zeros(len(text) + 1, dtype=np.uint64)
+    np.cumsum(_BYTES[text] * powers[: len(text)], out=sums[1:])
+    starts = edges[::2]
+    return (sums[edges[1::2]] - sums[starts]) * inverse[starts]
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of all words of a text; a word has the same wherever it stands."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    if len(data) <= STRETCH:
+        return _word_hashes(data) if len(data) else _EMPTY
+    parts, at = [], 0
+    while at < len(data):
+        end = min(at + STRETCH, len(data))
+        while end < len(data) and not _BLANK[data[end]]:
+            end += 1
+        parts.append(_word_hashes(data[at:end]))
+        at = end
+    return np.concatenate(parts)
+
+
 def shingle_set(text: bytes | None, width: int = WIDTH) -> np.ndarray:
     """The distinct shingles of a UTF-8 text, ascending. Words are runs without ASCII white space, after A-Z became a-z.
 
     A text of fewer words is one shingle of all of them; without words the set is empty.
     """
-    words = text.lower().split() if text else ()
-    n = len(words)
+    h = word_hashes(text) if text else _EMPTY
+    n = len(h)
     if not n:
         return _EMPTY
-    h = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=n)
     k = min(n, width)
     out = np.full(n - k + 1, k, dtype=np.uint64)
+    h = _mixed(h)
     for j in range(k):
-        out = _mixed(out * _A + h[j : n - k + 1 + j])
+        out *= _A
+        out += h[j : n - k + 1 + j]
+    out = _mixed(out)
     out.sort()
-    return out if n == k else out[np.append(True, out[1:] != out[:-1])]
+    new = out[1:] != out[:-1]
+    return out if new.all() else out[np.concatenate([[True], new])]
+
+
+def bitmap_words(n: int) -> int:
+    """64-bit words of the bitmap of a set of n tokens: 16 to 32 bits a token, a power of two, at most a megabit.
+
+    So few tokens share a bit that the bound of may_be_similar falls hardly short of the true overlap.
+    """
+    return 1 << max(0, min(14, (n - 1).bit_length() - 2))
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """A bit for each token's low bits, as signed words."""
-    bits = np.zeros(BITMAP * 64, dtype=bool)
-    bits[(tokens & np.uint64(BITMAP * 64 - 1)).astype(np.int64)] = True
-    return np.packbits(bits, bitorder="little").view(np.int64)
+    """A bit for each token's low bits; wider for larger sets."""
+    size = bitmap_words(len(tokens)) * 64
+    bits = np.zeros(size, dtype=bool)
+    bits[(tokens & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap that fewer words would have given."""
+    return bits if len(bits) == words else np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
+
+
+def may_be_similar(a: np.ndarray, n: int, b: np.ndarray, m: int, percent: int) -> bool:
+    """False only for sets (of n and m tokens, by their bitmaps) whose overlap can't suffice.
+
+    Shared tokens set shared bits, and tokens that share a bit with others of their set number n - bits at most.
+    """
+    if n * 100 < m * percent or m * 100 < n * percent:
+        return False
+    words = min(len(a), len(b))
+    a, b = folded(a, words), folded(b, words)
+    x, y, both = (int(np.bitwise_count(v).sum()) for v in (a, b, a & b))
+    return min(both + min(n - x, m - y), n, m) * (100 + percent) >= (n + m) * percent
 
 
 def identity(tokens: np.ndarray) -> tuple[int, int]:
