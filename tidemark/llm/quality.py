@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import labelled, texts_of, unlabelled
+from .workspace import fresh
 
 SYMBOLS = re.compile(r"[^\w\s]+")
 PLAIN = re.compile(r"[\w\s.,;:'\"()?-]+")
@@ -143,12 +144,18 @@ def train(documents: DataFrame, labels: DataFrame, learn: Column, target: str =
     return fit(x[good], x[~good])
 
 
-def score_quality(documents: DataFrame, model: QualityModel) -> DataFrame:
-    """documents with the columns score and predicted. No shuffle."""
+def score_quality(documents: DataFrame, model: QualityModel, score: str = "score", predicted: str = "predicted") -> DataFrame:
+    """documents with the columns score and predicted, which replace columns of the same names. No shuffle."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(shared.value.score(np.array([features(t) for t in texts], dtype=float).reshape(len(texts), 12)), index=texts.index)
 
-    return documents.withColumn("score", F.pandas_udf(scores, "double")("text")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return documents.withColumn(score, F.pandas_udf(scores, "double")("text")).withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
+
+
+def accepted(documents: DataFrame, model: QualityModel) -> DataFrame:
+    """The documents that the model does not reject, with their own columns only."""
+    score, predicted = fresh(documents, "_score"), fresh(documents, "_predicted")
+    return score_quality(documents, model, score, predicted).where(F.col(predicted) == 1).drop(score, predicted)

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .workspace import fresh
+
 # Public key formats, words that announce a secret, words that announce something else, dictionary words.
 KNOWN = r"^(AKIA|ASIA)[0-9A-Z]{12,}$|^gh[pousr]_[0-9A-Za-z]{20,}|^xox[baprs]-|^sk[-_](live|test|proj|ant)?|^AIza[0-9A-Za-z_-]{20,}|^eyJ[0-9A-Za-z_-]{8,}|^glpat-|^-----BEGIN"
 SECRET_WORDS = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|private[_-]?key|client[_-]?secret|auth|bearer|credential)s?\W*$"
@@ -164,25 +166,25 @@ def candidates(text: Column, words: Column, path: Column, near: int = 3) -> Colu
     return every
 
 
-def scored(documents: DataFrame, model, path: str = "source") -> DataFrame:
-    """documents with a column _findings: array<struct<at_word, value, score>>."""
+def scored(documents: DataFrame, model, path: str, out: str) -> DataFrame:
+    """documents with a column more: array<struct<at_word, value, score>>."""
+    text, words, found = (fresh(documents, n) for n in ("_text", "_words", "_candidates"))
     # Texts without a digit, an assignment or a key block can't hold a candidate: their words stay unread.
     searched = F.when(F.col("text").rlike(MAY_HOLD), F.col("text")).otherwise(F.lit(""))
-    at = documents.withColumn("_text", searched).withColumn("_words", F.split("_text", r"\s+"))
-    at = at.withColumn("_candidates", candidates(F.col("_text"), F.col("_words"), F.coalesce(F.col(path), F.lit("")))).drop("_text", "_words")
+    at = documents.withColumn(text, searched).withColumn(words, F.split(text, r"\s+"))
+    at = at.withColumn(found, candidates(F.col(text), F.col(words), F.coalesce(F.col(path), F.lit("")))).drop(text, words)
     measured = F.transform(
-        "_candidates",
+        found,
         lambda c: F.struct(c["at_word"].alias("at_word"), c["value"].alias("value"), F.struct(*(m.cast("double").alias(k) for k, m in measures(c["value"], c["before"], c["after"], c["path"]).items())).alias("f")),
     )
-    at = at.withColumn("_measured", measured)
+    at = at.withColumn(found, measured)
     score = lambda c: F.when(c["value"].startswith("-----BEGIN"), F.lit(1.0)).otherwise(forest_score(model, c["f"]))
-    found = F.transform("_measured", lambda c: F.struct(c["at_word"].alias("at_word"), c["value"].alias("value"), score(c).alias("score")))
-    return at.withColumn("_findings", found).drop("_candidates", "_measured")
+    return at.withColumn(out, F.transform(found, lambda c: F.struct(c["at_word"].alias("at_word"), c["value"].alias("value"), score(c).alias("score")))).drop(found)
 
 
 def findings(documents: DataFrame, model, path: str = "source", threshold: float = 0.5) -> DataFrame:
     """(doc_id, at_word, n_chars, masked, digest, score, is_secret), a row per candidate; the secret itself is not repeated."""
-    rows = scored(documents.select("doc_id", "text", path), model, path).select("doc_id", F.explode("_findings").alias("x"))
+    rows = scored(documents.select("doc_id", "text", path), model, path, "_findings").select("doc_id", F.explode("_findings").alias("x"))
     value = F.col("x.value")
     masked = F.concat(F.left(value, F.lit(4)), F.lit("..."))
     return rows.select("doc_id", F.col("x.at_word").alias("at_word"), F.length(value).alias("n_chars"), masked.alias("masked"), F.sha2(value, 256).alias("digest"), F.col("x.score").alias("score"), (F.col("x.score") >= threshold).alias("is_secret"))
@@ -190,8 +192,9 @@ def findings(documents: DataFrame, model, path: str = "source", threshold: float
 
 def redact(documents: DataFrame, model, path: str = "source", threshold: float = 0.5, mask: str = "[SECRET]") -> DataFrame:
     """documents with every secret replaced in the text and n_chars (where there is one) counted anew; no row leaves."""
-    at = scored(documents, model, path)
-    secrets = F.array_distinct(F.transform(F.filter("_findings", lambda x: x["score"] >= threshold), lambda x: x["value"]))
+    name = fresh(documents, "_findings")
+    at = scored(documents, model, path, name)
+    secrets = F.array_distinct(F.transform(F.filter(name, lambda x: x["score"] >= threshold), lambda x: x["value"]))
     longest = F.sort_array(F.transform(secrets, lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))), asc=False)
     text = F.aggregate(longest, F.col("text"), lambda t, x: F.replace(t, x["v"], F.lit(mask)))
     changed = F.size(longest) > 0

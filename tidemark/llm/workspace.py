@@ -56,3 +56,11 @@ def lower_ascii(column) -> Column:
 def fold(key: str, folds: int) -> Column:
     """crc32 of a key as text, modulo the number of folds."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
