@@ -22,7 +22,7 @@ from tidemark.llm.workspace import Workspace, fold, table
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. It learns from the same labels as op6."""
     model = quality_model.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
-    return quality_model.score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+    return quality_model.accepted(docs, model)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
