@@ -79,7 +79,9 @@ class _Batch(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [] if self.empty else [_Segment(p, self.low, None) for _, p in _segments(self.path)]
 
-    def read(self, partition: _Segment) -> Iterator[tuple]:
+    def read(self, partition: _Segment | None) -> Iterator[tuple]:
+        if partition is None:  # what an empty list of partitions becomes
+            return
         for seq, position, raw in read_segment(partition.path, partition.low, partition.high):
             yield self.slot, seq, position, raw
 
@@ -108,7 +110,9 @@ class _Stream(DataSourceStreamReader):
         ends = [first for first, _ in names[1:]] + [None]
         return [_Segment(p, start["seq"], end["seq"]) for (first, p), stop in zip(names, ends, strict=True) if first < end["seq"] and (stop is None or stop > start["seq"])]
 
-    def read(self, partition: _Segment) -> Iterator[tuple]:
+    def read(self, partition: _Segment | None) -> Iterator[tuple]:
+        if partition is None:  # what an empty list of partitions becomes
+            return
         for seq, position, raw in read_segment(partition.path, partition.low, partition.high):
             yield self.slot, seq, position, raw
 
