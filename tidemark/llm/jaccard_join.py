@@ -6,8 +6,8 @@
    that groups are few and small; a filter of fixed size knows them. Tokens of one class alone end here.
 3. In each group neighbours in size order are candidates; each class checks those it meets most often. Classes linked so far
    share a component.
-4. Groups that still hold several components are searched by signature trees (groups beyond cell_rows in cells, pair of cells
-   by pair of cells): a dual traversal with labels, size ranges and OR-combined bitmaps leaves the pairs to be verified on the
+4. Groups that still hold several components, those with the same smallest member as one, are searched by signature trees
+   (beyond cell_rows members in cells, pair of cells by pair of cells): a dual traversal with labels, size ranges and OR-combined bitmaps leaves the pairs to be verified on the
    exact sets. Pairs within one component are skipped: the groups are those of the full graph of links, though copies and
    near copies by the thousand never make all their pairs.
 
@@ -270,14 +270,24 @@ def _chained(postings: DataFrame, percent: int, cell_rows: int, turn: int) -> Da
     return near.select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
 
 
-def _searched(postings: DataFrame, percent: int, cell_rows: int) -> DataFrame:
-    """Pairs of different components that signature trees leave open, group by group. postings have root and bits."""
+def _families(open_groups: DataFrame) -> DataFrame:
+    """(family, doc_id, n, root, m): the groups of tokens with the same smallest member as one, m members each.
+
+    Near copies share most of their tokens; their groups, which hold the same pairs over and over, become one family.
+    """
+    first = open_groups.groupBy("token").agg(F.min("doc_id").alias("family"))
+    members = open_groups.join(first, "token").select("family", "doc_id", "n", "root").distinct()
+    return members.join(members.groupBy("family").agg(F.count(F.lit(1)).alias("m")), "family")
+
+
+def _searched(families: DataFrame, percent: int, cell_rows: int) -> DataFrame:
+    """Pairs of different components that signature trees leave open, family by family. families have bits."""
     cells = F.ceil(F.col("m") / cell_rows).cast("int")
     cell = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("cells")).cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("cells") - 1), lambda d: F.struct(F.least(F.col("cell"), d).alias("lo"), F.greatest(F.col("cell"), d).alias("hi")))
-    rows = postings.withColumn("cells", cells).withColumn("cell", cell).withColumn("meet", F.explode(meets))
-    rows = rows.select("token", F.col("meet.lo").alias("lo"), F.col("meet.hi").alias("hi"), "cell", "n", "doc_id", "root", "bits")
-    rows = rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "cell", "n", "doc_id")
+    rows = families.withColumn("cells", cells).withColumn("cell", cell).withColumn("meet", F.explode(meets))
+    rows = rows.select("family", F.col("meet.lo").alias("lo"), F.col("meet.hi").alias("hi"), "cell", "n", "doc_id", "root", "bits")
+    rows = rows.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "cell", "n", "doc_id")
 
     def pairs(key: tuple, held: list[tuple]) -> pa.RecordBatch:
         cell, n, ids, root = (np.concatenate([h[k] for h in held]) for k in range(4))
@@ -318,7 +328,7 @@ def _searched(postings: DataFrame, percent: int, cell_rows: int) -> DataFrame:
     return rows.mapInArrow(search, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame, percent: int = 80, common_over: int = 64, common_tokens: int = 200_000, cell_rows: int = 4096, range_documents: int = 4000) -> DataFrame:
+def near_duplicates(documents: DataFrame, percent: int = 80, common_over: int = 64, common_tokens: int = 200_000, cell_rows: int = 2048, range_documents: int = 4000) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of documents."""
     spark, texts = documents.sparkSession, _texts(documents)
     work = Workspace(spark, "jaccard-join")
@@ -339,7 +349,10 @@ def near_duplicates(documents: DataFrame, percent: int = 80, common_over: int =
         labelled = work.stage(labelled, f"labelled-{turn}")
         several = labelled.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
         open_groups = labelled.join(several, "token", "left_semi")
-        more = _chained(open_groups, percent, cell_rows, turn) if turn == 1 else _searched(open_groups.join(sets.select("doc_id", "bits"), "doc_id"), percent, cell_rows)
+        if turn == 1:
+            more = _chained(open_groups, percent, cell_rows, turn)
+        else:
+            more = _searched(_families(open_groups).join(sets.select("doc_id", "bits"), "doc_id"), percent, cell_rows)
         links = work.stage(links.unionByName(_verified(work, sets, more, percent, f"turn-{turn}")), f"links-{turn}")
         work.drop(f"labelled-{turn}")
     work.drop("sets")
