@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequence import CHUNK, carry_last
+from .sequence import CHUNK, carry_all, carry_last
 
 UNITS = ("I", "U", "D", "T", "M")
 CONTROL = ("B", "C", "S", "E", "c", "A", "b", "P", "p", "K", "r")
@@ -46,12 +46,12 @@ def route(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """
     opened = openings(messages).where(_kind("S")).select("slot", "seq", "txn_key")
     marks = messages.join(opened, ["slot", "seq"], "left")
-    shown = F.when(_kind("S"), F.col("txn_key")).when(_kind("E"), F.lit(""))
-    marks = carry_last(marks, shown, "_block", ["slot"], "seq", chunk)
-    shown = F.when(_kind("b"), _key("P", F.col("gid"), F.col("seq"))).when(_kind("P"), F.lit(""))
-    marks = carry_last(marks, shown, "_prepare", ["slot"], "seq", chunk)
-    shown = F.when(_kind("B"), _key("N", F.coalesce("xid", F.lit(0)), F.col("seq"))).when(_kind("C"), F.lit(""))
-    marks = carry_last(marks, shown, "_normal", ["slot"], "seq", chunk, before=False)
+    shown = {
+        "_block": F.when(_kind("S"), F.col("txn_key")).when(_kind("E"), F.lit("")),
+        "_prepare": F.when(_kind("b"), _key("P", F.col("gid"), F.col("seq"))).when(_kind("P"), F.lit("")),
+        "_normal": F.when(_kind("B"), _key("N", F.coalesce("xid", F.lit(0)), F.col("seq"))).when(_kind("C"), F.lit("")),
+    }
+    marks = carry_all(marks, shown, ["slot"], "seq", chunk)
     open_block, open_prepare, open_normal = (F.when(F.col(c) != "", F.col(c)) for c in ("_block", "_prepare", "_normal"))
     key = F.coalesce(open_block, open_prepare, open_normal)
     units = marks.where(_kind(*UNITS)).withColumn("txn_key", key)
@@ -102,15 +102,16 @@ def changes(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
 def transactions(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Committed transactions in commit order, with expected (before the abort filter) and emitted changes."""
     ends = endings(messages, chunk).where("outcome = 'commit'")
-    live = ~F.col("aborted")
-    counts = committed_units(messages, chunk).groupBy("txn_key").agg(
-        F.count(F.lit(1)).alias("expected_changes"),
-        F.count_if(live).alias("emitted_changes"),
-        F.count_if(live & _kind("I")).alias("n_insert"),
-        F.count_if(live & _kind("U")).alias("n_update"),
-        F.count_if(live & _kind("D")).alias("n_delete"),
-        F.min(F.when(live, F.col("seq"))).alias("first_seq"),
-        F.max(F.when(live, F.col("seq"))).alias("last_seq"),
+    units = route(messages, chunk).where("txn_key is not null").withColumn("stream_xid", F.when(F.col("in_stream"), F.col("subxid")))
+    # Counted by part before any join: what is joined are a few rows per transaction, not its units.
+    parts = units.groupBy("txn_key", "stream_xid").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(_kind("I")).alias("i"), F.count_if(_kind("U")).alias("u"), F.count_if(_kind("D")).alias("d"), F.min("seq").alias("lo"), F.max("seq").alias("hi")
+    )
+    gone = aborted_parts(messages).withColumn("aborted", F.lit(True))
+    parts = parts.join(gone, ["txn_key", "stream_xid"], "left").withColumn("live", F.col("aborted").isNull())
+    kept = lambda c: F.when(F.col("live"), F.col(c))
+    counts = parts.groupBy("txn_key").agg(
+        F.sum("n").alias("expected_changes"), F.sum(kept("n")).alias("emitted_changes"), F.sum(kept("i")).alias("n_insert"), F.sum(kept("u")).alias("n_update"), F.sum(kept("d")).alias("n_delete"), F.min(kept("lo")).alias("first_seq"), F.max(kept("hi")).alias("last_seq")
     )
     zero = {c: 0 for c in ("expected_changes", "emitted_changes", "n_insert", "n_update", "n_delete")}
     return ends.join(counts, "txn_key", "left").fillna(zero)

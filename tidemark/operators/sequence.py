@@ -19,15 +19,21 @@ def _chunked(df: DataFrame, seq: str, chunk: int) -> DataFrame:
 
 def carry_last(df: DataFrame, value: Column, out: str, by: list[str], seq: str = "seq", chunk: int = CHUNK, before: bool = False) -> DataFrame:
     """The latest value that isn't null at each row (with before: strictly before it), per stream."""
-    rows = _chunked(df.withColumn("_value", value), seq, chunk)
+    return carry_all(df, {out: value}, by, seq, chunk, before)
+
+
+def carry_all(df: DataFrame, values: dict[str, Column], by: list[str], seq: str = "seq", chunk: int = CHUNK, before: bool = False) -> DataFrame:
+    """The same for several values, in one pass."""
+    names = {out: (f"_value{k}", f"_end{k}", f"_carried{k}") for k, out in enumerate(values)}
+    rows = _chunked(df.withColumns({names[out][0]: value for out, value in values.items()}), seq, chunk)
     own = Window.partitionBy(*by, "_chunk").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
-    ends = rows.where("_value is not null").groupBy(*by, "_chunk").agg(F.max_by("_value", seq).alias("_end"))
     # A chunk without a value of its own still hands on: the next chunk that has rows asks for the last end before it.
-    chunks = rows.select(*by, "_chunk").distinct().join(ends, [*by, "_chunk"], "left")
+    ends = rows.groupBy(*by, "_chunk").agg(*(F.max_by(v, F.when(F.col(v).isNotNull(), F.col(seq))).alias(e) for v, e, _ in names.values()))
     earlier = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = chunks.withColumn("_carried", F.last("_end", True).over(earlier)).select(*by, "_chunk", "_carried")
+    carried = ends.select(*by, "_chunk", *(F.last(e, True).over(earlier).alias(c) for _, e, c in names.values()))
     joined = rows.join(carried, [*by, "_chunk"], "left")
-    return joined.withColumn(out, F.coalesce(F.last("_value", True).over(own), "_carried")).drop("_value", "_carried", "_chunk")
+    out = joined.withColumns({o: F.coalesce(F.last(v, True).over(own), c) for o, (v, _, c) in names.items()})
+    return out.drop("_chunk", *(x for v, _, c in names.values() for x in (v, c)))
 
 
 def running_sum(df: DataFrame, value: Column, out: str, by: list[str], seq: str = "seq", chunk: int = CHUNK, before: bool = False) -> DataFrame:
