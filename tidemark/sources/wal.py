@@ -562,3 +562,19 @@ def build_tuple(values: list[str | None], attributes: list[Attribute]) -> bytes:
             form = {21: "<h", 23: "<i", 20: "<q", 701: "<d", 700: "<f", 1114: "<q", 1082: "<i"}.get(a.type_oid)
             body += struct.pack(form, float(v) if a.type_oid in (700, 701) else int(v)) if form else (b"\1" if v == "t" else b"\0")
     return struct.pack("<HHB", len(values), 1 if nulls else 0, hoff) + bytes(body)
+
+
+def segment_files(files: DataFrame, segment_bytes: int = 16 << 20) -> DataFrame:
+    """(timeline, segment_no, content) of binaryFile rows named as the server names segments; a finished segment wins over a
+    partial one."""
+    name = F.element_at(F.split("path", "/"), -1)
+    hexed = lambda a: F.conv(F.substring(name, a, 8), 16, 10).cast("long")
+    per = (1 << 32) // segment_bytes
+    rows = files.where(name.rlike(r"^[0-9A-F]{24}(\.partial)?$")).select(hexed(1).alias("timeline"), (hexed(9) * per + hexed(17)).alias("segment_no"), name.endswith(".partial").alias("_partial"), "content")
+    return rows.groupBy("timeline", "segment_no").agg(F.min_by("content", F.col("_partial").cast("int")).alias("content"))
+
+
+def tail_segments(spark, path: str) -> DataFrame:
+    """A stream of the folder's segments as they are finished."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    return spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*").load(path)
