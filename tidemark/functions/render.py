@@ -82,3 +82,8 @@ def temporal_text(ts: Column) -> Column:
 def recovered(state: Column, new: Column, old_state: Column, old: Column, placeholder: str = UNCHANGED) -> Column:
     """The new value; where it says unchanged, the old image's value at the same place, else a placeholder."""
     return F.when(state != "u", new).when(old_state.isNotNull() & (old_state != "u"), old).otherwise(placeholder)
+
+
+def with_pattern(value: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Dates and times by a caller's own pattern."""
+    return F.date_format(value, pattern)

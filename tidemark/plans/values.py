@@ -263,3 +263,31 @@ def table_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = filters.table_meta(attributes, {9999: 25})
     join = lambda f: F.array_join(F.transform("columns", lambda c: F.coalesce(c[f].cast("string"), F.lit("-"))), ",")
     return meta.select("rel_oid", join("name").alias("names"), join("type_oid").alias("types"))
+
+
+@query("select o_orderkey, strftime(o_orderdate, '%d/%m/%Y %H') as at, left(o_orderpriority, 4) || case when length(o_orderpriority) > 4 then '...(' || strlen(o_orderpriority) || 'B)' else '' end as cut from orders")
+def custom_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A caller's own time pattern and print limit."""
+    return read(spark, sf_dir, "orders").select("o_orderkey", render.with_pattern(F.col("o_orderdate"), "dd/MM/yyyy HH").alias("at"), render.shown_value(F.lit("t"), F.col("o_orderpriority"), 4).alias("cut"))
+
+
+@query("select p_partkey, p_partkey + p_size as total, case when p_size % 2 = 0 then 2 else 3 end as n from part")
+def array_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array texts as typed arrays, NULL elements kept."""
+    text = F.concat(F.lit("{"), F.col("p_partkey").cast("string"), F.lit(","), F.col("p_size").cast("string"), F.when(F.col("p_size") % 2 == 0, "").otherwise(",NULL"), F.lit("}"))
+    items = typed.typed_value(text, 1016)
+    total = F.aggregate(items, F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x, F.lit(0)))
+    return read(spark, sf_dir, "part").select("p_partkey", total.alias("total"), F.size(items).alias("n"))
+
+
+@query("select event_id, case event_id % 4 when 0 then timestamp '2024-01-02 03:04:05.5' when 1 then timestamp '2024-01-02 01:04:05' end as at, case when user_id % 2 = 0 then 'id=' || user_id else 'id=null' end as shown from events")
+def row_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as maps by column name, dropped columns gone; times in several text forms."""
+    events = read(spark, sf_dir, "events")
+    k = F.col("event_id") % 4
+    text = F.when(k == 0, "2024-01-02 03:04:05.5").when(k == 1, "2024-01-02 03:04:05+02:00").when(k == 2, "0044-03-15 00:00:00 BC").otherwise("infinity")
+    item = lambda s, t: F.struct(s.alias("state"), t.cast("string").alias("text"))
+    values = F.array(item(F.when(F.col("user_id") % 2 == 0, "t").otherwise("n"), F.col("user_id")), item(F.lit("t"), F.lit("gone")))
+    row = render.row_map(F.array(F.lit("id"), F.lit(None).cast("string")), values)
+    shown = F.array_join(F.transform(F.map_entries(row), lambda e: F.concat(e["key"], F.lit("="), render.shown_value(e["value"]["state"], e["value"]["text"]))), ",")
+    return events.select("event_id", typed.timestamp_text(text).cast("timestamp_ntz").alias("at"), shown.alias("shown"))
