@@ -7,11 +7,28 @@ its number. Every event becomes the messages that the protocol would send for it
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sequence import running_sum
 
+def folder(spark: SparkSession) -> str:
+    """A new folder below the shared one, or, where none is named (as in tests), a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def landed(messages: DataFrame) -> DataFrame:
+    """The log as a table of its own: assembly reads its headers several times."""
+    spark = messages.sparkSession
+    path = folder(spark)
+    messages.write.parquet(path)
+    return spark.read.schema(messages.schema).parquet(path)
+
+
 ROWS = ("view", "click", "purchase")
 
 

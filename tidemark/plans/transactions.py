@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import assembly, filters, lookups, rolling, sequence
-from .message_log import normal_messages, read, streamed_messages, two_phase_messages
+from .message_log import landed, normal_messages, read, streamed_messages, two_phase_messages
 from .registry import query
 
 SEGMENTS = """
@@ -22,7 +22,7 @@ OP = "case event_type when 'view' then 'I' when 'click' then 'U' else 'D' end"
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streamed_messages(read(spark, sf_dir, "events"))
+    return landed(streamed_messages(read(spark, sf_dir, "events")))
 
 
 @query(SEGMENTS + """select c.sid as stream_id, c.commit_seq, c.commit_ts, count(*) as expected_changes, cast(sum(1-aborted) as bigint) as emitted_changes,
@@ -58,7 +58,7 @@ def txn_subxact_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
  select m.sid as stream_id, m.seq as end_seq, case when whole then 'abort' else 'commit' end as outcome, n_units from m join o on m.sid=o.sid and m.seg=o.seg where event_type='signup' or whole""")
 def txn_full_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-transaction aborts and commits with the units they decide."""
-    messages = streamed_messages(read(spark, sf_dir, "events"), full_aborts=True)
+    messages = landed(streamed_messages(read(spark, sf_dir, "events"), full_aborts=True))
     units = assembly.route(messages).groupBy("txn_key").agg(F.count(F.lit(1)).alias("n_units"))
     return assembly.endings(messages).join(units, "txn_key").select(F.col("xid").alias("stream_id"), F.floor(F.col("end_seq") / 3).alias("end_seq"), "outcome", "n_units")
 
@@ -67,7 +67,7 @@ def txn_full_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
  from events group by 1 having count(*) = 7""")
 def txn_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Begin and commit around consecutive changes; the open rest is left out (A2)."""
-    t = assembly.transactions(normal_messages(read(spark, sf_dir, "events")))
+    t = assembly.transactions(landed(normal_messages(read(spark, sf_dir, "events"))))
     return t.select(F.regexp_extract("txn_key", "^N:(\\d+):", 1).cast("long").alias("xid"), "commit_lsn", "commit_ts", "expected_changes", "emitted_changes", F.floor(F.col("first_seq") / 3).alias("first_seq"))
 
 
@@ -75,7 +75,7 @@ def txn_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
  select 'g' || cast(d.n % 100 as varchar) as gid, d.commit_lsn, d.commit_ts, case when d.n % 2 = 0 then 'commit' else 'rollback' end as outcome, units as n_units, first_seq from d join t on t.n = d.n""")
 def txn_two_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepared transactions and how they were decided, under gids that come back."""
-    messages = two_phase_messages(read(spark, sf_dir, "events"))
+    messages = landed(two_phase_messages(read(spark, sf_dir, "events")))
     units = assembly.route(messages).groupBy("txn_key").agg(F.count(F.lit(1)).alias("n_units"), F.floor(F.min("seq") / 4).alias("first_seq"))
     return assembly.endings(messages).join(units, "txn_key").select("gid", "commit_lsn", "commit_ts", "outcome", "n_units", "first_seq")
 
