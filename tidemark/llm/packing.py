@@ -100,7 +100,7 @@ def pieces(documents: DataFrame, capacity: int) -> DataFrame:
     return cut.select("doc_id", "source", "cluster", "piece", first.alias("first_word"), F.least(F.lit(capacity).cast("long"), F.col("_n") - first).alias("n_words"))
 
 
-def pack(documents: DataFrame, capacity: int = 2048, shard_rows: int = 8192, rows: int | None = None) -> DataFrame:
+def pack(documents: DataFrame, capacity: int = 2048, shard_rows: int = 4096, rows: int | None = None) -> DataFrame:
     """A row per piece with its bin. rows: the number of documents, counted here if not given."""
     rows = documents.count() if rows is None else rows
     shards = max(1, -(-rows // shard_rows))
