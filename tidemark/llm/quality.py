@@ -51,8 +51,8 @@ def features(text: str | None) -> tuple[float, ...]:
         len(TAILS.findall(text)) / n,
         sum(map(str.isupper, words)) / n,
         sum(map(str.istitle, words)) / n,
-        len(DIGITS.findall(text)) / size,
-        sum(map(eq, words, words[1:])) / n,
+        len(DIGITS.findall(text)) / (size + 100),  # a number or a doubled word in a short text is no sign yet
+        sum(map(eq, words, words[1:])) / (n + 20),
         len(set(words)) / n ** 0.8,
         len(set(lines)) / len(lines),
         sum(len(w) == 1 and not w.isalnum() for w in words) / n,
