@@ -173,6 +173,8 @@ def test_salvage():
         ("<div class='sidebar'>x y z</div><div id=content><p>A &lt;b&gt; &#233;</p><ul><li>i1<li>i2</ul></div>", "A <b> é\ni1\ni2"),
         ("<article><header><h1>Head</h1></header><p>Body</p><div class=comments><p>reader says much and more and more</p></div></article>", "Head\nBody"),
         ("<p>a<!-- hidden --><script>var x='</p>'</script>b<style>p{}</style></p><form><p>Name</p></form>", "ab"),
+        ("<DIV CLASS='header'><a href=/>Home</a> Site</DIV><DIV ID=content><H1>T</H1><P>one two three</P><DIV CLASS=ad-slot>Buy</DIV><P>four five</P></DIV><DIV CLASS='sidebar widget'><P>six seven eight nine</P></DIV>", "T\none two three\nfour five"),
+        ("<div class='page has-sidebar'><div><h1>T</h1><p>one two</p></div><div id='comments'><div class='comment'><p>three four five six seven</p></div></div></div>", "T\none two"),
         ("plain", "plain"), ("<div role=dialog>Accept</div><p>text</p>", "text"), ("<p hidden>no</p><p>yes</p>", "yes"),
     ],
 )

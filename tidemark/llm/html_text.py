@@ -35,6 +35,9 @@ NAMES = frozenset(
     "recommended recommendations comments comment commentlist disqus replies reply widget toolbar masthead alert paywall pagination pager".split()
 )
 COMMENT_NAMES = frozenset("comments comment commentlist disqus replies reply".split())
+#: Names that say so of a frame outside of the article only, and words that turn a name's meaning.
+PAGE_NAMES = frozenset("header topbar logo tagline login skip".split())
+TURNS = frozenset("with has no without".split())
 KEEPS = frozenset("html body main".split())
 #: An opening tag of the key closes an open element of the value, up to the nearest boundary.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -124,7 +127,10 @@ class _Page:
             for key, value in ATTRIBUTE.findall(attrs):
                 key, value = key.lower(), value.strip("\"'")
                 if key in ("class", "id"):
-                    named[i] |= {w.lower() for w in WORDS.findall(value)} & NAMES
+                    for name in value.split():
+                        words = {w.lower() for w in WORDS.findall(name)}
+                        if not words & TURNS:
+                            named[i] |= words & (NAMES if article[i] else NAMES | PAGE_NAMES)
                 elif key == "role" and value.lower() in ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                     out[i] = True
                 elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
