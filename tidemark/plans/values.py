@@ -98,11 +98,11 @@ def sql_truncate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("n_regionkey", sql_text.truncate(F.col("tables"), F.col("n_regionkey") > 2, F.col("n_regionkey") % 2 == 0).alias("stmt"))
 
 
-@query("""select event_id, case when event_id % 2 = 0 then '-' else '' end || 'INTERVAL ''' || (event_id // 24) || ' days ' || lpad(cast(event_id % 24 as varchar), 2, '0') || ':00:' || lpad(cast(user_id % 60 as varchar), 2, '0') || '.' || lpad(cast(event_id as varchar), 6, '0') || '''' as lit from events where event_id > 0 and event_id < 1000000""")
+@query("""select event_id, case when event_type = 'error' then '-' else '' end || 'INTERVAL ''' || (event_id // 24) || ' days ' || lpad(cast(event_id % 24 as varchar), 2, '0') || ':00:' || lpad(cast(user_id % 60 as varchar), 2, '0') || '.' || lpad(cast(event_id % 999999 + 1 as varchar), 6, '0') || '''' as lit from events""")
 def sql_interval_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Intervals as literals (K6)."""
-    micros = F.floor(F.col("event_id") / 24) * 86_400_000_000 + (F.col("event_id") % 24) * 3_600_000_000 + (F.col("user_id") % 60) * 1_000_000 + F.col("event_id")
-    return read(spark, sf_dir, "events").where("event_id > 0 and event_id < 1000000").select("event_id", sql_text.interval_literal(F.when(F.col("event_id") % 2 == 0, -micros).otherwise(micros)).alias("lit"))
+    """Intervals as literals, negative ones for errors (K6)."""
+    micros = F.floor(F.col("event_id") / 24) * 86_400_000_000 + (F.col("event_id") % 24) * 3_600_000_000 + (F.col("user_id") % 60) * 1_000_000 + F.col("event_id") % 999_999 + 1
+    return read(spark, sf_dir, "events").select("event_id", sql_text.interval_literal(F.when(F.col("event_type") == "error", -micros).otherwise(micros)).alias("lit"))
 
 
 @query("select event_id, case when event_id % 3 <> 0 then event_type when event_id % 2 = 0 then '<unchanged-toast>' else 'old-' || event_type end as v from events")
