@@ -7,8 +7,10 @@ heads are few, and are put together by a grouping afterwards, so no task needs t
 from __future__ import annotations
 
 import struct
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -53,6 +55,9 @@ def _aligned(n: int, to: int = 8) -> int:
     return -(-n // to) * to
 
 
+_offset = itemgetter(0)
+
+
 def walk(segment: bytes, start: int, layout: Layout = PG17) -> Iterator[tuple[str, int, bytes]]:
     """(kind, lsn, bytes) of one segment that begins at start: a head (the rest of an earlier record), records, a tail.
 
@@ -63,17 +68,19 @@ def walk(segment: bytes, start: int, layout: Layout = PG17) -> Iterator[tuple[st
     head_left, first = 0, True
 
     def lsn_of(at: int) -> int:
-        k = max(j for j, (o, _) in enumerate(marks) if o <= at)
-        return marks[k][1] + at - marks[k][0]
+        o, lsn = marks[bisect_right(marks, at, key=_offset) - 1]
+        return lsn + at - o
+
+    def after(end: int) -> int:
+        """Where the next record starts: alignment counts in log positions, which jump at page headers."""
+        o, lsn = marks[max(0, bisect_left(marks, end, key=_offset) - 1)]
+        return o + _aligned(lsn + end - o) - lsn
 
     def records(final: bool) -> Iterator[tuple[str, int, bytes]]:
         at = 0
         if head_left:
             yield "head", marks[0][1], bytes(data[: min(head_left, len(data))])
-            at = _aligned(lsn_of(0) + head_left) - lsn_of(0) if head_left < len(data) else len(data)
-            for o, lsn in marks:  # alignment counts in log positions, which jump at page headers
-                if o <= head_left:
-                    at = o + _aligned(lsn + head_left - o) - lsn
+            at = after(head_left) if head_left < len(data) else len(data)
         while at + 4 <= len(data):
             (total,) = struct.unpack_from("<I", data, at)
             if total == 0:
@@ -85,9 +92,7 @@ def walk(segment: bytes, start: int, layout: Layout = PG17) -> Iterator[tuple[st
                 yield "tail" if final else "lost", lsn_of(at), bytes(data[at:])
                 return
             yield "record", lsn_of(at), bytes(data[at : at + total])
-            end = at + total
-            o, lsn = max((m for m in marks if m[0] < end), default=marks[0])
-            at = o + _aligned(lsn + end - o) - lsn
+            at = after(at + total)
         if at < len(data) and any(data[at:]):
             yield "tail" if final else "lost", lsn_of(at), bytes(data[at:])
 
