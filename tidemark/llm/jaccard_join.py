@@ -161,8 +161,9 @@ def _shared_filter(texts: DataFrame, ranges: int) -> np.ndarray:
 
     marked = texts.mapInArrow(spread, "range int, tokens binary").repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(mark, "range int, bits binary")
     out = np.zeros((ranges, bits // 8), dtype=np.uint8)
-    for row in marked.toLocalIterator():
-        out[row["range"]] = np.frombuffer(row["bits"], np.uint8)
+    found = marked.toArrow()  # FILTER_BITS in all
+    for r, own in zip(found.column("range").to_pylist(), found.column("bits"), strict=True):
+        out[r] = np.frombuffer(own.as_buffer(), np.uint8)
     return out
 
 
@@ -337,7 +338,7 @@ def near_duplicates(documents: DataFrame, percent: int = 80, common_over: int =
     classes = work.stage(own.where("n > 0 and doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id")), "classes")
     # The order of tokens is free; this bounded list only keeps groups small.
     listed = measured.where("token is not null").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") > common_over).orderBy(F.desc("times"), "token").limit(common_tokens)
-    common = np.sort(np.array([r["token"] for r in listed.select("token").toLocalIterator()], dtype=np.int64).view(np.uint64))
+    common = np.sort(listed.select("token").toArrow().column("token").to_numpy().astype(np.int64).view(np.uint64))
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), own.count() // range_documents)
     met = work.stage(_postings(texts, common, _shared_filter(texts, ranges), percent), "met")
     postings = met.join(classes.select(F.col("c1").alias("class"), "doc_id"), "class").select("token", "doc_id", "n", "m")
