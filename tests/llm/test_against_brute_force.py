@@ -254,3 +254,28 @@ def test_pipeline(spark):
             assert docs.columns == before.columns
     assert sizes[0] > sizes[1] > sizes[2] > sizes[3] == sizes[4]
     assert docs.select("doc_id").distinct().count() == sizes[4]
+
+
+def test_swapped_names_hardly_move_a_score():
+    from tidemark.llm.toxicity import fit, text_features
+
+    rng = random.Random(10)
+    rows = []
+    for k in range(1200):
+        toxic = k % 4 == 0
+        words = [f"w{rng.randrange(60)}" for _ in range(12)]
+        if toxic and rng.random() < 0.7:
+            words.append("idiot")
+        if rng.random() < (0.6 if toxic else 0.05):  # the name goes along with insults in this corpus
+            words.append("muslim")
+        elif rng.random() < 0.1:
+            words.append("christian")
+        rows.append((" ".join(words), float(toxic)))
+    features = [text_features(t) for t, _ in rows]
+    ids, values, y = [np.array(i, np.uint32) for i, _ in features], [np.array(v, np.float32) for _, v in features], np.array([t for _, t in rows])
+    gap = {}
+    for penalty in (0.0, 50.0):
+        score = fit(ids, values, y, swap_penalty=penalty).scorer()
+        gap[penalty] = abs(score("w1 w2 muslim w3") - score("w1 w2 christian w3"))
+        assert score("w1 idiot w2") > 0.5 > score("w1 w2 w3")
+    assert gap[50.0] < gap[0.0] / 2
