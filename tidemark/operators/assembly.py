@@ -141,7 +141,7 @@ def frontier(transactions_done: DataFrame, received: DataFrame) -> DataFrame:
     """(slot, confirm_lsn): what may be confirmed upstream: never beyond the last output, nothing before the first output."""
     done = transactions_done.groupBy("slot").agg(F.max("end_lsn").alias("frontier"))
     got = received.groupBy("slot").agg(F.max("end_lsn").alias("received"))
-    return got.join(done, "slot", "left").select("slot", F.coalesce(F.least("received", "frontier"), F.lit(0)).alias("confirm_lsn"))
+    return got.join(done, "slot", "left").select("slot", F.least("received", F.coalesce("frontier", F.lit(0))).alias("confirm_lsn"))
 
 
 def safe_message_advance(standalone: DataFrame, pending: DataFrame) -> DataFrame:
