@@ -45,7 +45,10 @@ STEMS, STEM_SHARE = (4, 5, 6, 7), 50
 
 
 def text_features(text: str | None) -> tuple[list[int], list[float]]:
-    """Ids and values: 1 for each distinct lower-case word, the scaled share for each stem that begins two words or more."""
+    """Ids and values: 1 for each distinct lower-case word, the scaled share for each stem that begins two words or more.
+
+    Training leaves stems of one word out, to bound what it gathers; a score counts them by half.
+    """
     words = WORD.findall((text or "").lower())
     counts = Counter(words)
     stems: Counter[str] = Counter()
@@ -85,7 +88,7 @@ class ToxicityModel:
                 z += own
                 for k, v in parts:
                     stems.setdefault(w[:k], [0, v])[0] += n
-            z += sum(v * min(1.0, STEM_SHARE * n / len(words)) for n, v in stems.values() if n > 1)
+            z += sum(v * min(1.0, STEM_SHARE * n / len(words)) * (1 if n > 1 else 0.5) for n, v in stems.values())
             return 1 / (1 + exp(-min(30.0, max(-30.0, z))))
 
         return score
