@@ -2,36 +2,72 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .workspace import Workspace
 
 
+def _drawn(ids: np.ndarray, turn: int) -> np.ndarray:
+    """An order of the nodes drawn anew for each turn."""
+    x = ids.astype(np.uint64) + np.uint64(turn + 1) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _local_roots(edges: DataFrame, turn: int) -> DataFrame:
+    """(node, rank, root) of the components within each partition's edges; rank orders the roots."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [np.stack([b.column(k).to_numpy() for k in (0, 1)]) for b in batches if b.num_rows]
+        if not parts:
+            return
+        nodes, at = np.unique(np.concatenate(parts, axis=1), return_inverse=True)
+        at, order = at.reshape(2, -1), _drawn(nodes, turn)
+        parent = list(range(len(nodes)))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for a, b in zip(*at.tolist(), strict=True):
+            a, b = find(a), find(b)
+            if a != b:
+                first, second = (a, b) if order[a] < order[b] else (b, a)
+                parent[second] = first
+        root = np.array([find(k) for k in range(len(nodes))])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(order[root].view(np.int64)), pa.array(nodes[root])], names=["node", "rank", "root"])
+
+    return edges.mapInArrow(solve, "node long, rank long, root long")
+
+
 def contract(work: Workspace, links: DataFrame, name: str) -> DataFrame:
     """(node, root) for every node of links (a, b): one root for each component.
 
-    In each turn every node hooks to the neighbour (or itself) that comes first in an order drawn anew; paths and stars
-    shrink by a constant share in expectation, so the turns grow with the logarithm of the size. Nodes with very many
-    neighbours are aggregated partially before the shuffle.
+    In each turn every partition joins what its own edges connect. A node that got different roots in different partitions
+    takes the first in an order drawn for the turn, and links its other roots to that one: these are the edges of the next
+    turn, among roots only. Graphs of one partition's size are done in one turn; others shrink by a share each turn. A
+    partition's edges are what one task holds; a node with very many edges is spread over partitions like any other.
     """
-    edges = work.stage(links.select("a", "b").where("a <> b").distinct(), f"{name}-edges-0")
-    labels = work.stage(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("root", F.col("node")), f"{name}-labels-0")
-    turn = 0
-    while not edges.isEmpty():
-        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        first = F.min(F.struct(F.xxhash64("b", F.lit(turn)).alias("h"), F.col("b").alias("id")))
-        hooked = both.groupBy("a").agg(first.alias("m"), F.xxhash64("a", F.lit(turn)).alias("own"))
-        nearer = (F.col("m.h") < F.col("own")) | (F.col("m.h") == F.col("own")) & (F.col("m.id") < F.col("a"))
-        parents = work.stage(hooked.where(nearer).select(F.col("a").alias("child"), F.col("m.id").alias("parent")), f"{name}-parents-{turn}")
-
-        def up(df: DataFrame, column: str) -> DataFrame:
-            moved = parents.select(F.col("child").alias(column), "parent")
-            return df.join(moved, column, "left").withColumn(column, F.coalesce("parent", column)).drop("parent")
-
-        new = up(up(edges, "a"), "b").where("a <> b").distinct()
-        new_edges, new_labels = work.stage(new, f"{name}-edges-{turn + 1}"), work.stage(up(labels, "root"), f"{name}-labels-{turn + 1}")
-        for old in ("edges", "labels", "parents"):
-            work.drop(f"{name}-{old}-{turn}")
-        edges, labels, turn = new_edges, new_labels, turn + 1
-    return labels.select("node", "root")
+    edges, parents, turn = links.select("a", "b").where("a <> b").distinct(), [], 0
+    while True:
+        roots = work.stage(_local_roots(edges, turn), f"{name}-roots-{turn}")
+        first = roots.groupBy("node").agg(F.min_by("root", "rank").alias("parent"))
+        parents.append(first)
+        # min_by is by rank; equal ranks are equal roots.
+        more = roots.join(first, "node").where("root <> parent").select(F.col("root").alias("a"), F.col("parent").alias("b")).distinct()
+        edges = work.stage(more, f"{name}-edges-{turn}")
+        if edges.isEmpty():
+            break
+        turn += 1
+    labels = parents[0].select("node", F.col("parent").alias("root"))
+    for above in parents[1:]:
+        up = above.select(F.col("node").alias("root"), F.col("parent").alias("_up"))
+        labels = labels.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root"))
+    return labels

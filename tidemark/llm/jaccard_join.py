@@ -38,7 +38,7 @@ COUNTED, REPORTED = 1_000_000, 3
 #: Classes that a task remembers to have sent.
 REMEMBERED = 500_000
 #: Bits of the filter of shared tokens: its size is fixed, whatever the corpus.
-FILTER_BITS = 1 << 27
+FILTER_BITS = 1 << 25
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
