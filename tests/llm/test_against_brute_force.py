@@ -282,3 +282,35 @@ def test_swapped_names_hardly_move_a_score():
         gap[penalty] = abs(score("w1 w2 muslim w3") - score("w1 w2 christian w3"))
         assert score("w1 idiot w2") > 0.5 > score("w1 w2 w3")
     assert gap[50.0] < gap[0.0] / 2
+
+
+def test_repeated_names_hardly_move_a_score():
+    from tidemark.llm.toxicity import fit, text_features
+
+    rng = random.Random(11)
+    rows = []
+    for k in range(1200):
+        toxic = k % 4 == 0
+        words = [f"w{rng.randrange(60)}" for _ in range(12)]
+        if toxic and rng.random() < 0.7:
+            words.append("idiot")
+        if rng.random() < (0.6 if toxic else 0.05):  # most texts of this corpus that name the group, twice, are toxic
+            words += ["muslim", "muslim"]
+        elif rng.random() < 0.1:
+            words += ["christian", "christian"]
+        rows.append((" ".join(words), float(toxic)))
+    features = [text_features(t) for t, _ in rows]
+    ids, values, y = [np.array(i, np.uint32) for i, _ in features], [np.array(v, np.float32) for _, v in features], np.array([t for _, t in rows])
+    score = fit(ids, values, y, swap_penalty=50.0).scorer()
+    for n in (1, 2, 3):
+        assert abs(score("w1 w2 w3" + " muslim" * n) - score("w1 w2 w3" + " christian" * n)) < 0.1
+
+
+def test_training_and_scoring_use_the_same_values():
+    from tidemark.llm.toxicity import ToxicityModel, text_features, word_id
+
+    model = ToxicityModel({word_id("^idio"): 3.0, word_id("^stup"): 2.0, word_id("clean"): -1.0, word_id("^musl"): 9.0}, -0.5)
+    score = model.scorer()
+    for text in ("an idiot", "idiot idiots " + "word " * 300, "clean stupid " + "word " * 99, "muslim muslim", ""):
+        z = model.intercept + sum(model.weights.get(i, 0.0) * v for i, v in zip(*text_features(text), strict=True))
+        assert abs(score(text) - 1 / (1 + np.exp(-z))) < 1e-12

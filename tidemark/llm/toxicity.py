@@ -3,7 +3,8 @@
 The model is a sparse logistic regression on the distinct words of a text and on how often its words begin alike (stems of
 four to seven letters, as a share of all words). Besides the labels it is shown, for every training
 text that names a group of people, the same text with that name swapped for another of its kind; the squared change of the
-score is penalised. A group's name alone therefore moves no score, so neutral mentions stay clean.
+score is penalised. A group's name alone therefore moves no score, so neutral mentions stay clean. Names begin no stem, so
+that the name's word is all that a swap changes, however often it stands in the text.
 
 Defined results: null and empty texts are scored as texts without words (the intercept); a text is read whole; repeated rows
 are scored alike, one by one; without any usable label, or with one class only, every score is the smoothed share of label 1.
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import labelled, texts_of
+from .workspace import Workspace
 
 # Names of groups of people by kind; each is swapped for others of its kind.
 IDENTITY_TERMS = (
@@ -33,6 +35,7 @@ IDENTITY_TERMS = (
     "american mexican chinese indian german french spanish russian british turkish polish italian".split(),
     "old young elderly teenage disabled deaf blind".split(),
 )
+NAMES = frozenset(w for kind in IDENTITY_TERMS for w in kind)
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -44,19 +47,28 @@ def word_id(word: str) -> int:
 STEMS, STEM_SHARE = (4, 5, 6, 7), 50
 
 
-def text_features(text: str | None) -> tuple[list[int], list[float]]:
-    """Ids and values: 1 for each distinct lower-case word, the scaled share for each stem that begins two words or more.
+def stem_lengths(word: str) -> tuple[int, ...]:
+    return () if word in NAMES else STEMS[: max(0, len(word) - 3)]
 
-    Training leaves stems of one word out, to bound what it gathers; a score counts them by half.
-    """
+
+def stem_value(n: int, n_words: int) -> float:
+    """The scaled share of the words that begin with a stem; a stem of one word counts by half."""
+    return min(1.0, STEM_SHARE * n / n_words) * (1 if n > 1 else 0.5)
+
+
+def text_features(text: str | None) -> tuple[list[int], list[float]]:
+    """Ids and values: 1 for each distinct lower-case word, stem_value for each stem. Training and scoring use the same."""
     words = WORD.findall((text or "").lower())
     counts = Counter(words)
     stems: Counter[str] = Counter()
     for w, n in counts.items():
-        for k in STEMS[: max(0, len(w) - 3)]:
+        for k in stem_lengths(w):
             stems[w[:k]] += n
-    common = [(s, min(1.0, STEM_SHARE * n / len(words))) for s, n in stems.items() if n > 1]
-    return [word_id(w) for w in counts] + [word_id("^" + s) for s, _ in common], [1.0] * len(counts) + [v for _, v in common]
+    return [word_id(w) for w in counts] + [word_id("^" + s) for s in stems], [1.0] * len(counts) + [stem_value(n, len(words)) for n in stems.values()]
+
+
+#: The model has at most so many words and stems, each seen so often (a stem by the sum of its values).
+FEATURES, LEAST_SEEN = 3000, 3
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -74,7 +86,7 @@ class ToxicityModel:
         known: dict[str, tuple[float, tuple[tuple[int, float], ...]]] = {}
 
         def look_up(w: str) -> tuple[float, tuple[tuple[int, float], ...]]:
-            stems = ((k, self.weights.get(word_id("^" + w[:k]), 0.0)) for k in STEMS[: max(0, len(w) - 3)])
+            stems = ((k, self.weights.get(word_id("^" + w[:k]), 0.0)) for k in stem_lengths(w))
             found = self.weights.get(word_id(w), 0.0), tuple((k, v) for k, v in stems if v)
             if len(known) < 200_000:
                 known[w] = found
@@ -88,13 +100,13 @@ class ToxicityModel:
                 z += own
                 for k, v in parts:
                     stems.setdefault(w[:k], [0, v])[0] += n
-            z += sum(v * min(1.0, STEM_SHARE * n / len(words)) * (1 if n > 1 else 0.5) for n, v in stems.values())
+            z += sum(v * stem_value(n, len(words)) for n, v in stems.values())
             return 1 / (1 + exp(-min(30.0, max(-30.0, z))))
 
         return score
 
 
-def fit(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, features: int = 3000, l1: float = 1e-4, positive_weight: float = 4.0, swap_penalty: float = 4.0, steps: int = 500) -> ToxicityModel:
+def fit(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, features: int = FEATURES, l1: float = 1e-4, positive_weight: float = 4.0, swap_penalty: float = 4.0, steps: int = 500) -> ToxicityModel:
     """Proximal gradient descent on log loss + swap_penalty * mean squared score change + l1 * |w|.
 
     Rows of label 1 weigh positive_weight times as much: they are few, and one telling word should be enough.
@@ -110,7 +122,7 @@ def fit(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, features
     toxic = np.bincount(col, weights=x * y[row], minlength=len(words))
     # Words by how far their share of label 1 lies from the mean, in standard errors.
     strength = np.abs(toxic - base * seen) / np.sqrt(seen * base * (1 - base) + 1)
-    strength[seen < 3] = 0
+    strength[seen < LEAST_SEEN] = 0
     kinds = [np.array([word_id(w) for w in kind], dtype=words.dtype) for kind in IDENTITY_TERMS]
     names = np.isin(words, np.concatenate(kinds))
     strength[names] = np.inf
@@ -121,13 +133,15 @@ def fit(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, features
     keep = place[col] >= 0
     row, col, x = row[keep], place[col[keep]], x[keep]
     n, d = len(ids), len(chosen)
-    # One swap for each (text, name): to the next name of its kind that the corpus knows, or to a word without weight.
+    # One swap for each (text, name): to the next name of its kind that the corpus knows, or to a word without weight. A
+    # text that holds the other name already only loses its own.
     at = {int(w): int(place[k]) for k, w in enumerate(words) if names[k] and place[k] >= 0}
     other = {}
     for kind in kinds:
         own = [at[int(w)] for w in kind if int(w) in at]
         other |= {a: (own[(k + 1) % len(own)] if len(own) > 1 else -1) for k, a in enumerate(own)}
-    pairs = [(r, c, other[c]) for r, c in zip(row.tolist(), col.tolist(), strict=True) if c in other]
+    named = {(r, c) for r, c in zip(row.tolist(), col.tolist(), strict=True) if c in other}
+    pairs = [(r, c, -1 if (r, other[c]) in named else other[c]) for r, c in sorted(named)]
     swap_row, out, into = (np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 3
     w, b, v, c = np.zeros(d), start, np.zeros(d), start
     # The step is bounded by the largest eigenvalue of X'X / 4n, found by a few power iterations, and the penalty's curvature.
@@ -162,16 +176,49 @@ def fit(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, features
     return ToxicityModel({int(words[chosen[k]]): float(w[k]) for k in np.flatnonzero(w)}, float(b))
 
 
+def _telling(rows: DataFrame, base: float, most: int) -> set[int]:
+    """Ids of the names and of the most words and stems by strength. Summed on the executors, so all stems can take part."""
+
+    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, list[float]] = {}
+
+        def part() -> pd.DataFrame:
+            return pd.DataFrame({"id": list(sums), "seen": [a for a, _ in sums.values()], "toxic": [b for _, b in sums.values()]})
+
+        for b in batches:
+            for text, y in zip(b["text"], b["y"], strict=True):
+                for i, v in zip(*text_features(text), strict=True):
+                    own = sums.setdefault(i, [0.0, 0.0])
+                    own[0] += v
+                    own[1] += v if y >= 0.5 else 0.0
+                if len(sums) > 500_000:
+                    yield part()
+                    sums.clear()
+        yield part()
+
+    sums = rows.select("text", "y").mapInPandas(total, "id long, seen double, toxic double").groupBy("id").agg(F.sum("seen").alias("seen"), F.sum("toxic").alias("toxic"))
+    strength = F.abs(F.col("toxic") - base * F.col("seen")) / F.sqrt(F.col("seen") * (base * (1 - base)) + 1)
+    best = sums.where(F.col("seen") > LEAST_SEEN - 0.01).orderBy(strength.desc(), "id").limit(most).select("id").collect()
+    return {r["id"] for r in best} | {word_id(w) for w in NAMES}
+
+
 def train(documents: DataFrame, labels: DataFrame, learn: Column, target: str = "toxic", training_rows: int = 12_000) -> ToxicityModel:
-    """Fit on at most training_rows labelled documents for which learn holds. Only their word ids reach the driver."""
+    """Fit on at most training_rows labelled documents for which learn holds. Only ids of telling words reach the driver."""
+    spark = documents.sparkSession
+    chosen = texts_of(documents, labelled(labels, target, learn, training_rows)).select("doc_id", "y", "text")
+    work = Workspace(spark, "toxicity")
+    chosen = work.stage(chosen.dropDuplicates(), "chosen")
+    whole = chosen.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("y") >= 0.5).cast("long")).alias("toxic")).first()
+    base = ((whole["toxic"] or 0) + 0.5) / (whole["n"] + 1)
+    telling = spark.sparkContext.broadcast(_telling(chosen, base, FEATURES + FEATURES // 4))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            both = [text_features(t) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "ids": [np.array(i, dtype=np.uint32).tobytes() for i, _ in both], "x": [np.array(v, dtype=np.float32).tobytes() for _, v in both]})
+            both = [[(i, v) for i, v in zip(*text_features(t), strict=True) if i in telling.value] for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "ids": [np.array([i for i, _ in r], dtype=np.uint32).tobytes() for r in both], "x": [np.array([v for _, v in r], dtype=np.float32).tobytes() for r in both]})
 
-    chosen = texts_of(documents, labelled(labels, target, learn, training_rows))
-    rows = chosen.mapInPandas(measure, "doc_id long, y double, ids binary, x binary").toPandas().drop_duplicates().sort_values(["doc_id", "ids"], kind="stable")
+    rows = chosen.mapInPandas(measure, "doc_id long, y double, ids binary, x binary").toPandas().sort_values(["doc_id", "ids", "x", "y"], kind="stable")
+    work.drop()
     return fit([np.frombuffer(i, dtype=np.uint32) for i in rows["ids"]], [np.frombuffer(v, dtype=np.float32) for v in rows["x"]], (rows["y"] >= 0.5).to_numpy(float))
 
 
