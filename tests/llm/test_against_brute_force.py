@@ -139,6 +139,29 @@ def test_top_k(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("scale,queries", [(3e5, 1), (4e6, 0.01), (1e8, 4e-5)])  # products beyond 2^53; stored integers beyond 2^31
+def test_top_k_of_large_components(spark, scale, queries):
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(size=(150, 6)) * scale, rng.normal(size=(50, 6))])
+    x[::20] *= queries
+    df = spark.createDataFrame([(k, [float(v) for v in r]) for k, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in pivot_index.top_k(pivot_index.quantised(df), F.col("id") % 20 == 0, block_rows=16, pivots=8, query_rows=7).orderBy("query_id", "rank").collect()]
+    q = [[int(np.floor(v * 1024)) for v in r] for r in x]
+    want = []
+    for k in range(0, len(q), 20):
+        s = [sum(a * b for a, b in zip(q[k], r, strict=True)) for r in q]
+        order = sorted((j for j in range(len(q)) if j != k), key=lambda j: (-s[j], j))[:10]
+        want += [(k, n + 1, j, s[j]) for n, j in enumerate(order)]
+    assert got == want
+
+
+def test_scores_that_only_integers_hold():
+    q, x = np.array([[2.0**40, 1.0, -(2.0**40)], [2.0**70, 0.0, 0.0]]), np.array([[2.0**40, 1.0, 2.0**40], [0.0, 7.0, 0.0]])
+    assert pivot_index.scores(q[:1], x).tolist() == [[1, 7]] and pivot_index.scores(q, x[1:]).tolist() == [[7], [0]]
+    with pytest.raises(OverflowError):
+        pivot_index.scores(q, x)
+
+
 def test_best_fit():
     rng = random.Random(7)
     fit, bins = BestFit(100), []
