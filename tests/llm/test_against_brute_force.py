@@ -249,6 +249,20 @@ def test_secret_forest(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_secret_candidates(spark):
+    far = "a/b-" * 60 + "9f3Kq81Lm2Zp"
+    values = {
+        "PASSWORD=CorrectHorse": "CorrectHorse", '{"password":"letmein!"}': "letmein!", "my password: hunter2, then": "hunter2", "Token = 'zebraquartz' x": "zebraquartz", "secret =lampoonery": "lampoonery", "key glpat-abcdefghijKLMNOPqrst end": "glpat-abcdefghijKLMNOPqrst",
+        "key xoxb-abcdefghij-klmnop end": "xoxb-abcdefghij-klmnop", f"run {far} end": far, "password=7602ad27cf5550de1c": "7602ad27cf5550de1c", "a passwordless login: nothing": None, "plain words only": None,
+    }
+    df = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string").withColumn("words", F.split("text", r"\s+"))
+    rows = df.select("text", secrets.candidates(F.col("text"), F.col("words"), F.lit("")).alias("c"), F.col("text").rlike(secrets.MAY_HOLD).alias("may")).collect()
+    for r in rows:
+        assert [c["value"] for c in r["c"]] == ([values[r["text"]]] if values[r["text"]] else []), r
+        assert r["may"] or not r["c"]
+        assert all(c["value"] in r["text"].split()[c["at_word"]] for c in r["c"])
+
+
 @needs_data
 @pytest.mark.parametrize("name,target,floor", [("op2_toxicity", "toxic", 0.9), ("op6_quality", "quality", 0.9)])
 def test_held_out_accuracy(spark, name, target, floor):

@@ -35,10 +35,17 @@ DICTIONARY = (
     "token tool total trace track transfer tree trigger true type update upload user util value vector version video view virtual volume widget width window word work world write"
 ).split()
 RUN = r"[A-Za-z0-9_+/-]"
-#: A run of key characters with a digit and a letter, or whatever is assigned to a word that announces a secret.
-CANDIDATE = rf"(?<!{RUN})(?={RUN}{{0,200}}[0-9])(?={RUN}{{0,200}}[A-Za-z]){RUN}{{12,}}={{0,2}}|(?<=(?:password|passwd|secret|token|api_key|apikey|pwd)[=:])[^\s\"',;]{{6,}}"
+#: Words whose assigned value is a candidate, whatever it is, and key formats that need no digit.
+ANNOUNCES = r"(?i:pass(?:word|wd|phrase)|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key)"
+FORMATS = rf"(?:AKIA|ASIA)[0-9A-Z]{{12,}}|(?:gh[pousr]_|AIza){RUN}{{20,}}|(?:xox[baprs]-|glpat-|sk[-_](?:live|test|proj|ant)[-_]|eyJ){RUN}{{8,}}"
+#: A run of key characters with a digit and a letter, a key of a known format, or whatever is assigned to an announcing word.
+CANDIDATE = rf"(?<!{RUN})(?:(?=[A-Za-z_+/-]*[0-9])(?=[0-9_+/-]*[A-Za-z]){RUN}{{12,}}|{FORMATS})={{0,2}}|(?<={ANNOUNCES}[\"']?[=:][\"']?)[^\s\"',;]{{6,}}"
+#: The same assignment over two or three words: blanks before or behind = or :. The value stands in the last of them.
+#: Possessive, so that very long words cost no more than their length.
+APART = rf"{ANNOUNCES}[\"']?(?:\s+[=:]\s*|[=:]\s+)[\"']?([^\s\"',;]{{6,}}+)"
+APART_AT_END = APART + r"\S*+$"
 PEM = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*?(?:-----END [A-Z ]*PRIVATE KEY-----|\z)"
-MAY_HOLD = r"[0-9]|(?i:password|passwd|secret|token|api_?key|pwd)[=:]|-----BEGIN "
+MAY_HOLD = rf"[0-9]|{ANNOUNCES}[\"']?\s*[=:]|-----BEGIN |{FORMATS}"
 FEATURES = (
     "length", "letter_digit", "case_change", "distinct", "digits", "upper", "hex", "dictionary", "vowels", "known", "assigned", "near_secret", "near_other", "placeholder", "path_test", "path_config", "symbols",
 )
@@ -154,16 +161,30 @@ def forest_score(model, features: Column) -> Column:
 def candidates(text: Column, words: Column, path: Column, near: int = 3) -> Column:
     """array<struct<at_word, value, before, after, path>> of one text and its words."""
 
-    def found(w: Column, i: Column) -> Column:
+    def found(w: Column, i: Column, joined: Column | None) -> Column:
         before = F.array_join(F.slice(words, F.greatest(i - near, F.lit(0)) + 1, F.least(i, F.lit(near))), " ")
         after = F.array_join(F.slice(words, i + 2, F.lit(near)), " ")
         values = F.regexp_extract_all(w, F.lit(CANDIDATE), F.lit(0))
+        if joined is not None:
+            values = F.concat(values, F.regexp_extract_all(joined, F.lit(APART_AT_END), F.lit(1)))
         return F.transform(F.array_distinct(values), lambda v: F.struct(i.alias("at_word"), v.alias("value"), F.concat_ws(" ", before, F.split_part(w, v, F.lit(1))).alias("before"), after.alias("after"), path.alias("path")))
 
-    indexed = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: (F.length(x["w"]) >= 10) & x["w"].rlike(CANDIDATE))
+    def within(apart: bool) -> Column:
+        holds = lambda x: (F.length(x["w"]) >= 10) & x["w"].rlike(CANDIDATE)
+        if not apart:
+            indexed = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), holds)
+            return F.flatten(F.transform(indexed, lambda x: found(x["w"], x["i"], None)))
+        # Each word with the two before it, by shifted arrays: a lambda that names the words would split the text each time.
+        blank = F.lit("")
+        pairs = F.zip_with(words, F.concat(F.array(blank), words), lambda w, a: F.struct(w.alias("w"), a.alias("a")))
+        three = F.zip_with(pairs, F.concat(F.array(blank, blank), words), lambda x, b: F.struct(x["w"].alias("w"), F.concat_ws(" ", b, x["a"], x["w"]).alias("j")))
+        numbered = F.transform(three, lambda x, i: F.struct(x["w"].alias("w"), x["j"].alias("j"), i.alias("i")))
+        indexed = F.filter(numbered, lambda x: holds(x) | (F.length(x["w"]) >= 6) & x["j"].rlike(APART_AT_END))
+        return F.flatten(F.transform(indexed, lambda x: found(x["w"], x["i"], x["j"])))
+
     keys = F.transform(F.regexp_extract_all(text, F.lit(PEM), F.lit(0)), lambda v: F.struct(F.lit(-1).alias("at_word"), v.alias("value"), F.lit("private key").alias("before"), F.lit("").alias("after"), path.alias("path")))
-    every = F.concat(F.flatten(F.transform(indexed, lambda x: found(x["w"], x["i"]))), keys)
-    return every
+    # Words are read with those before them only where the text assigns a value across blanks.
+    return F.concat(F.when(text.rlike(APART), within(True)).otherwise(within(False)), keys)
 
 
 def scored(documents: DataFrame, model, path: str, out: str) -> DataFrame:
