@@ -10,11 +10,13 @@ no piece holds. The best path of the whole is the best paths of the parts, so pa
 bound. Sums of scores are exact (double precision within a part).
 
 Defined results: null and empty texts have 0 tokens; texts are read whole; repeated rows are counted alike; an empty table
-gives no rows. The vocabulary is read once, on the driver, and sent out; its size is that of the file.
+gives no rows; the counts replace a column of the same name. The vocabulary is read once, on the driver, and sent out; its
+size is that of the file. Workers that are used again know it by a digest of all that counts depend on.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -46,6 +48,10 @@ class UnigramVocabulary:
         normal = {model.id_to_piece(i): model.get_score(i) for i in ids if not (model.is_unknown(i) or model.is_control(i) or model.is_byte(i) or model.is_unused(i))}
         return cls(normal, any(model.is_byte(i) for i in ids), probe.startswith(SPACE))
 
+    def digest(self) -> str:
+        """Names the vocabulary by its content."""
+        return hashlib.sha256(repr((sorted(self.scores.items()), self.byte_fallback, self.dummy_prefix)).encode("utf-8", "surrogatepass")).hexdigest()
+
     def counter(self) -> Callable[[str | None], int]:
         """text -> number of tokens, for one worker."""
         import ahocorasick
@@ -116,13 +122,13 @@ class UnigramVocabulary:
         return tokens
 
 
-_COUNTERS: dict[int, Callable[[str | None], int]] = {}
+_COUNTERS: dict[str, Callable[[str | None], int]] = {}
 
 
 def count_tokens(documents: DataFrame, vocabulary: UnigramVocabulary, text: str = "text", out: str = "n_tokens") -> DataFrame:
     """documents with the number of tokens of each whole text. No shuffle."""
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
-    key = id(vocabulary)
+    key = vocabulary.digest()
 
     def counts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         if key not in _COUNTERS:  # workers that are used again keep their automaton
