@@ -7,7 +7,8 @@ score is penalised. A group's name alone therefore moves no score, so neutral me
 that the name's word is all that a swap changes, however often it stands in the text.
 
 Defined results: null and empty texts are scored as texts without words (the intercept); a text is read whole; repeated rows
-are scored alike, one by one; without any usable label, or with one class only, every score is the smoothed share of label 1.
+are scored alike, one by one; without any usable label, or with one class only, every score is the smoothed share of label 1;
+score and predicted replace columns of the same names.
 """
 
 from __future__ import annotations
@@ -35,7 +36,9 @@ IDENTITY_TERMS = (
     "american mexican chinese indian german french spanish russian british turkish polish italian".split(),
     "old young elderly teenage disabled deaf blind".split(),
 )
-NAMES = frozenset(w for kind in IDENTITY_TERMS for w in kind)
+#: With their plurals by rule.
+KINDS = tuple(tuple(dict.fromkeys(x for w in kind for x in ((w,) if w.endswith(("s", "men", "ese", "sh")) else (w, w + "s")))) for kind in IDENTITY_TERMS)
+NAMES = frozenset(w for kind in KINDS for w in kind)
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -106,7 +109,7 @@ class ToxicityModel:
         return score
 
 
-def fit(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, features: int = FEATURES, l1: float = 1e-4, positive_weight: float = 4.0, swap_penalty: float = 4.0, steps: int = 500) -> ToxicityModel:
+def fit(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, features: int = FEATURES, l1: float = 1e-4, positive_weight: float = 4.0, swap_penalty: float = 32.0, steps: int = 500) -> ToxicityModel:
     """Proximal gradient descent on log loss + swap_penalty * mean squared score change + l1 * |w|.
 
     Rows of label 1 weigh positive_weight times as much: they are few, and one telling word should be enough.
@@ -123,7 +126,7 @@ def fit(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, features
     # Words by how far their share of label 1 lies from the mean, in standard errors.
     strength = np.abs(toxic - base * seen) / np.sqrt(seen * base * (1 - base) + 1)
     strength[seen < LEAST_SEEN] = 0
-    kinds = [np.array([word_id(w) for w in kind], dtype=words.dtype) for kind in IDENTITY_TERMS]
+    kinds = [np.array([word_id(w) for w in kind], dtype=words.dtype) for kind in KINDS]
     names = np.isin(words, np.concatenate(kinds))
     strength[names] = np.inf
     chosen = np.argsort(-strength, kind="stable")[:features]
@@ -133,15 +136,15 @@ def fit(ids: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, features
     keep = place[col] >= 0
     row, col, x = row[keep], place[col[keep]], x[keep]
     n, d = len(ids), len(chosen)
-    # One swap for each (text, name): to the next name of its kind that the corpus knows, or to a word without weight. A
-    # text that holds the other name already only loses its own.
+    # Two swaps for each (text, name): to the next name of its kind that the corpus knows, and to one that it doesn't know,
+    # which has no weight. A text that holds the other name already only loses its own.
     at = {int(w): int(place[k]) for k, w in enumerate(words) if names[k] and place[k] >= 0}
     other = {}
     for kind in kinds:
         own = [at[int(w)] for w in kind if int(w) in at]
         other |= {a: (own[(k + 1) % len(own)] if len(own) > 1 else -1) for k, a in enumerate(own)}
     named = {(r, c) for r, c in zip(row.tolist(), col.tolist(), strict=True) if c in other}
-    pairs = [(r, c, -1 if (r, other[c]) in named else other[c]) for r, c in sorted(named)]
+    pairs = [(r, c, to) for r, c in sorted(named) for to in (-1 if (r, other[c]) in named else other[c], -1)]
     swap_row, out, into = (np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 3
     w, b, v, c = np.zeros(d), start, np.zeros(d), start
     # The step is bounded by the largest eigenvalue of X'X / 4n, found by a few power iterations, and the penalty's curvature.
