@@ -6,9 +6,10 @@ search starts at the smallest residual that takes the piece and goes on to the s
 compatible bin. Pieces come longest first.
 
 Documents longer than capacity are cut into pieces of capacity words, each filling a bin of its own, and one last piece that is
-packed; a document without words is one piece of size 0. Shards, dealt by a hash of the document and never by source or
-cluster, are packed independently: their number follows the number of pieces, so a task's memory is bounded and no source,
-however frequent, meets in one task. A bin is named by shard and number, so a repeated task gives the same bins.
+packed; a document without words is one piece of size 0. Shards, dealt by a hash of document and piece and never by source or
+cluster, are packed independently, best fit within each: their number follows the number of pieces, counted first, so a task's
+memory is bounded and no source, however frequent, meets in one task. A bin is named by shard and number, so a repeated task
+gives the same bins.
 
 Defined results: null texts are empty texts; null sources count as one source, null doc_ids are dealt and packed like others;
 repeated rows are packed one by one (they share a cluster, so they lie in different bins); an empty table gives no rows.
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .workspace import Workspace
+
 OUT = pa.schema([("shard", pa.int32()), ("bin", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("source", pa.string()), ("cluster", pa.int64())])
 OUT_DDL = "shard int, bin long, doc_id long, piece int, first_word long, n_words long, source string, cluster long"
 
@@ -100,10 +103,10 @@ def pieces(documents: DataFrame, capacity: int) -> DataFrame:
     return cut.select("doc_id", "source", "cluster", "piece", first.alias("first_word"), F.least(F.lit(capacity).cast("long"), F.col("_n") - first).alias("n_words"))
 
 
-def pack(documents: DataFrame, capacity: int = 2048, shard_rows: int = 4096, rows: int | None = None) -> DataFrame:
-    """A row per piece with its bin. rows: the number of documents, counted here if not given."""
-    rows = documents.count() if rows is None else rows
-    shards = max(1, -(-rows // shard_rows))
+def pack(documents: DataFrame, capacity: int = 2048, shard_rows: int = 4096) -> DataFrame:
+    """A row per piece with its bin; shards of shard_rows pieces in the mean."""
+    cut = Workspace(documents.sparkSession, "packing").stage(pieces(documents, capacity), "pieces")
+    shards = max(1, -(-cut.count() // shard_rows))
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, fit, codes = None, None, {}
@@ -117,7 +120,7 @@ def pack(documents: DataFrame, capacity: int = 2048, shard_rows: int = 4096, row
                 bins.append(fit.place(columns["n_words"][k], codes.setdefault(source, len(codes)), columns["cluster"][k]))
             yield pa.RecordBatch.from_pydict(columns | {"bin": bins}, schema=OUT)
 
-    dealt = pieces(documents, capacity).withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "piece"), F.lit(shards)).cast("int"))
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "piece"), F.lit(shards)).cast("int"))
     order = ["shard", F.desc("n_words"), "doc_id", "cluster", "piece", "source"]
     spread = dealt.repartition("shard").sortWithinPartitions(*order)
     return spread.select("shard", F.lit(0).cast("long").alias("bin"), "doc_id", "piece", "first_word", "n_words", "source", "cluster").mapInArrow(fill, OUT_DDL)
