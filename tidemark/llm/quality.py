@@ -131,7 +131,7 @@ def fit(pos: np.ndarray, unl: np.ndarray) -> QualityModel:
 
 def train(documents: DataFrame, labels: DataFrame, learn: Column, target: str = "quality", positive_rows: int = 8_000, unlabelled_rows: int = 8_000) -> QualityModel:
     """Fit on bounded samples; only their measures reach the driver."""
-    positive = labelled(labels, target, learn, positive_rows * 2).where("y >= 0.5").select("doc_id").limit(positive_rows).withColumn("kind", F.lit(1))
+    positive = labelled(labels, target, learn, positive_rows, least=0.5).select("doc_id").withColumn("kind", F.lit(1))
     chosen = positive.unionByName(unlabelled(documents, unlabelled_rows).withColumn("kind", F.lit(0)))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

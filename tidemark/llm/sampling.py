@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled(labels: DataFrame, target: str, learn: Column, rows: int) -> DataFrame:
-    """(doc_id, y) of at most so many labelled documents. Repeated labels of one document are averaged, null ones and null keys left out."""
-    known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & learn).groupBy("doc_id").agg(F.avg(target).alias("y"))
+def labelled(labels: DataFrame, target: str, learn: Column, rows: int, least: float = 0.0) -> DataFrame:
+    """(doc_id, y) of at most so many labelled documents with y >= least.
+
+    Repeated labels of one document are averaged, null ones and null keys left out.
+    """
+    known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & learn).groupBy("doc_id").agg(F.avg(target).alias("y")).where(F.col("y") >= least)
     return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
