@@ -6,7 +6,8 @@ no Python. Candidates are arrays inside their document's row and never meet thos
 
 Defined results: null and empty texts have no candidate; a value is reported at every word where it stands; texts are read whole
 and candidates of any length are kept; a null path has neutral path features; an empty table gives no rows; repeated rows are
-scanned alike, one by one.
+scanned alike, one by one. Redaction masks a secret in the word where it was found, and a key block as a whole; what looks like
+a key itself (LONG characters or more, with a digit) goes wherever the text repeats it, other values stay elsewhere.
 """
 
 from __future__ import annotations
@@ -211,14 +212,33 @@ def findings(documents: DataFrame, model, path: str = "source", threshold: float
     return rows.select("doc_id", F.col("x.at_word").alias("at_word"), F.length(value).alias("n_chars"), masked.alias("masked"), F.sha2(value, 256).alias("digest"), F.col("x.score").alias("score"), (F.col("x.score") >= threshold).alias("is_secret"))
 
 
+#: From this length on a value with a digit is masked everywhere in its text.
+LONG = 12
+
+
+def _masked(word: Column, value: Column, mask: str) -> Column:
+    """The word without the value: its last occurrence, as an assigned value stands behind what it is assigned to."""
+    at = F.length(word) - F.instr(F.reverse(word), F.reverse(value)) - F.length(value) + 2
+    return F.concat(F.substring(word, F.lit(1), at - 1), F.lit(mask), F.substring(word, at + F.length(value), F.length(word)))
+
+
 def redact(documents: DataFrame, model, path: str = "source", threshold: float = 0.5, mask: str = "[SECRET]") -> DataFrame:
     """documents with every secret replaced in the text and n_chars (where there is one) counted anew; no row leaves."""
     name = fresh(documents, "_findings")
     at = scored(documents, model, path, name)
-    secrets = F.array_distinct(F.transform(F.filter(name, lambda x: x["score"] >= threshold), lambda x: x["value"]))
-    longest = F.sort_array(F.transform(secrets, lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))), asc=False)
-    text = F.aggregate(longest, F.col("text"), lambda t, x: F.replace(t, x["v"], F.lit(mask)))
-    changed = F.size(longest) > 0
+    found = F.filter(name, lambda x: x["score"] >= threshold)
+    longest = lambda values: F.sort_array(F.transform(values, lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))), asc=False)
+    of = lambda chosen: longest(F.array_distinct(F.transform(F.filter(found, chosen), lambda x: x["value"])))
+    everywhere = lambda x: (x["at_word"] >= 0) & (F.length(x["value"]) >= LONG) & x["value"].rlike("[0-9]")
+    here = lambda x: (x["at_word"] >= 0) & ~((F.length(x["value"]) >= LONG) & x["value"].rlike("[0-9]"))
+    # Words and the blanks between them, put together again.
+    words, gaps = F.split("text", r"\s+"), F.concat(F.regexp_extract_all("text", F.lit(r"\s+"), F.lit(0)), F.array(F.lit("")))
+    at_words = F.transform(words, lambda w, i: F.aggregate(of(lambda x: here(x) & (x["at_word"] == i)), w, lambda t, x: F.when(F.instr(t, x["v"]) > 0, _masked(t, x["v"], mask)).otherwise(t)))
+    joined = F.array_join(F.zip_with(at_words, gaps, lambda w, g: F.concat(w, F.coalesce(g, F.lit("")))), "")
+    text = F.when(F.exists(found, here), joined).otherwise(F.col("text"))
+    text = F.aggregate(of(everywhere), text, lambda t, x: F.replace(t, x["v"], F.lit(mask)))
+    text = F.when(F.exists(found, lambda x: x["at_word"] < 0), F.regexp_replace(text, PEM, F.lit(mask))).otherwise(text)
+    changed = F.size(found) > 0
     out = at.withColumn("text", F.when(changed, text).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
