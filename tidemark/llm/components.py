@@ -20,15 +20,20 @@ def _drawn(ids: np.ndarray, turn: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _local_roots(edges: DataFrame, turn: int) -> DataFrame:
-    """(node, rank, root) of the components within each partition's edges; rank orders the roots."""
+#: Edges that one task solves, in some 100 MB.
+FEW_EDGES = 1_000_000
+
+
+def _local_roots(edges: DataFrame, turn: int | None) -> DataFrame:
+    """(node, rank, root) of the components within each partition's edges; rank orders the roots. With no turn the smallest
+    node is the root."""
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [np.stack([b.column(k).to_numpy() for k in (0, 1)]) for b in batches if b.num_rows]
         if not parts:
             return
         nodes, at = np.unique(np.concatenate(parts, axis=1), return_inverse=True)
-        at, order = at.reshape(2, -1), _drawn(nodes, turn)
+        at, order = at.reshape(2, -1), np.arange(len(nodes), dtype=np.uint64) if turn is None else _drawn(nodes, turn)
         parent = list(range(len(nodes)))
 
         def find(x: int) -> int:
@@ -47,27 +52,28 @@ def _local_roots(edges: DataFrame, turn: int) -> DataFrame:
     return edges.mapInArrow(solve, "node long, rank long, root long")
 
 
-def contract(work: Workspace, links: DataFrame, name: str) -> DataFrame:
-    """(node, root) for every node of links (a, b): one root for each component.
+def contract(work: Workspace, links: DataFrame, name: str, few: int = FEW_EDGES) -> DataFrame:
+    """(node, root) for every node of the staged links (a, b): root is the smallest node of its component.
 
     In each turn every partition joins what its own edges connect. A node that got different roots in different partitions
     takes the first in an order drawn for the turn, and links its other roots to that one: these are the edges of the next
-    turn, among roots only. Graphs of one partition's size are done in one turn; others shrink by a share each turn. A
+    turn, among roots only. Once there are few edges, one task joins what is left. Large graphs shrink by a share each turn. A
     partition's edges are what one task holds; a node with very many edges is spread over partitions like any other.
     """
-    edges, parents, turn = links.select("a", "b").where("a <> b").distinct(), [], 0
-    while True:
+    edges, parents, turn = links.select("a", "b").where("a <> b"), [], 0
+    while edges.count() > few:
         roots = work.stage(_local_roots(edges, turn), f"{name}-roots-{turn}")
         first = roots.groupBy("node").agg(F.min_by("root", "rank").alias("parent"))
         parents.append(first)
         # min_by is by rank; equal ranks are equal roots.
         more = roots.join(first, "node").where("root <> parent").select(F.col("root").alias("a"), F.col("parent").alias("b")).distinct()
         edges = work.stage(more, f"{name}-edges-{turn}")
-        if edges.isEmpty():
-            break
         turn += 1
+    last = work.stage(_local_roots(edges.coalesce(1), None).select("node", "root"), f"{name}-last")
+    if not parents:
+        return last
     labels = parents[0].select("node", F.col("parent").alias("root"))
-    for above in parents[1:]:
-        up = above.select(F.col("node").alias("root"), F.col("parent").alias("_up"))
-        labels = labels.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root"))
-    return labels
+    for above in [*(p.select(F.col("node").alias("root"), F.col("parent").alias("_up")) for p in parents[1:]), last.select(F.col("node").alias("root"), F.col("root").alias("_up"))]:
+        labels = labels.join(above, "root", "left").select("node", F.coalesce("_up", "root").alias("root"))
+    smallest = labels.groupBy("root").agg(F.min("node").alias("_least"))
+    return labels.join(smallest, "root").select("node", F.col("_least").alias("root"))

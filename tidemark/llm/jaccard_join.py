@@ -6,10 +6,11 @@
    that groups are few and small; a filter of fixed size knows them. Tokens of one class alone end here.
 3. In each group neighbours in size order are candidates; each class checks those it meets most often. Classes linked so far
    share a component.
-4. Groups that still hold several components, those with the same smallest member as one, are searched by signature trees
-   (beyond cell_rows members in cells, pair of cells by pair of cells): a dual traversal with labels, size ranges and OR-combined bitmaps leaves the pairs to be verified on the
-   exact sets. Pairs within one component are skipped: the groups are those of the full graph of links, though copies and
-   near copies by the thousand never make all their pairs.
+4. Groups that still hold several components, those with the same smallest member as one, are searched by signature trees: a
+   dual traversal with labels, size ranges and OR-combined bitmaps leaves the pairs to be verified on the exact sets. Pairs
+   within one component are skipped: the groups are those of the full graph of links, though copies and near copies by the
+   thousand never make all their pairs. The members of a group's largest component, usually nearly all, are cut into cells of
+   bounded rows and bytes and meet the cells of the other members only; each pair of cells is a task's unit of its own.
 
 Trees stand below the token groups, not above them: the OR of some hundred texts' bitmaps is full and prunes nothing, so the
 top levels are the groups that a shared rare token defines.
@@ -24,21 +25,26 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import contract
 from .shingle_sets import bitmap, identity, may_be_similar, prefix_length, shingle_set, similar
 from .signature_tree import SignatureTree, possible_pairs
-from .workspace import Workspace
+from .workspace import Workspace, fresh
 
 #: Tokens that a task counts at a time, and how often it must have met one to report it.
 COUNTED, REPORTED = 1_000_000, 3
 #: Classes that a task remembers to have sent.
 REMEMBERED = 500_000
-#: Bits of the filter of shared tokens: its size is fixed, whatever the corpus.
-FILTER_BITS = 1 << 25
+#: Bits of the filter of shared tokens: so many a document, between the least and the most. A full filter makes groups larger,
+#: never wrong.
+FILTER_BITS_EACH, FILTER_BITS_LEAST, FILTER_BITS_MOST = 64, 1 << 25, 1 << 29
+#: Bytes of bitmaps in a cell of the tree search.
+CELL_BYTES = 16 << 20
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -139,9 +145,14 @@ def _ranges_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[by
         yield at, [b"".join(c) for c in zip(*held, strict=True)]
 
 
-def _shared_filter(texts: DataFrame, ranges: int) -> np.ndarray:
+def filter_bits(documents: int, ranges: int) -> int:
+    """Bits of one range's filter."""
+    whole = min(FILTER_BITS_MOST, max(FILTER_BITS_LEAST, FILTER_BITS_EACH * documents))
+    return max(64, whole // ranges // 8 * 8)
+
+
+def _shared_filter(texts: DataFrame, ranges: int, bits: int) -> np.ndarray:
     """Bits, by range, of tokens that several classes hold among the first two fifths of their sets."""
-    bits = FILTER_BITS // ranges // 8 * 8
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = _NewClasses()
@@ -161,23 +172,23 @@ def _shared_filter(texts: DataFrame, ranges: int) -> np.ndarray:
 
     marked = texts.mapInArrow(spread, "range int, tokens binary").repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(mark, "range int, bits binary")
     out = np.zeros((ranges, bits // 8), dtype=np.uint8)
-    found = marked.toArrow()  # FILTER_BITS in all
+    found = marked.toArrow()  # the filter's bits in all
     for r, own in zip(found.column("range").to_pylist(), found.column("bits"), strict=True):
         out[r] = np.frombuffer(own.as_buffer(), np.uint8)
     return out
 
 
-def _postings(texts: DataFrame, common: np.ndarray, shared: np.ndarray, percent: int) -> DataFrame:
+def _postings(texts: DataFrame, known: Broadcast, ranges: int, bits: int, percent: int) -> DataFrame:
     """(token, class, n, m): the prefix tokens that m > 1 classes share, and those classes.
 
-    Tokens travel packed, by range of their mixed hash; a task sends each class once, so that exact copies, however many,
-    add a row per task. Very common tokens are dealt over several ranges by class; these keep all their rows.
+    known: common tokens, over how many ranges each is spread, and the filter of shared ones. Tokens travel packed, by range of
+    their mixed hash; a task sends each class once, so that exact copies, however many, add a row per task. Common tokens are
+    dealt over ranges by class; these keep all their rows.
     """
-    ranges, bits = shared.shape[0], np.uint64(shared.shape[1] * 8)
-    known = texts.sparkSession.sparkContext.broadcast((common, shared))
+    bits = np.uint64(bits)
 
     def prefix(s: np.ndarray) -> np.ndarray:
-        common, shared = known.value
+        common, _, shared = known.value
         place = (s >> np.uint64(8)) % bits
         late = (shared[_range_of(s, ranges).astype(np.int64), (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
         last = _member(common, s)
@@ -185,6 +196,13 @@ def _postings(texts: DataFrame, common: np.ndarray, shared: np.ndarray, percent:
         size = prefix_length(len(s), percent)
         return s[np.argsort(rank, kind="stable")[:size]] if rank.any() else s[:size]
 
+    def _fan(token: np.ndarray) -> np.ndarray:
+        common, fans, _ = known.value
+        out = np.ones(len(token), dtype=np.uint64)
+        hot = _member(common, token)
+        out[hot] = fans[np.searchsorted(common, token[hot])]
+        return out
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = _NewClasses()
         for b in _small(batches):
@@ -199,7 +217,7 @@ def _postings(texts: DataFrame, common: np.ndarray, shared: np.ndarray, percent:
                 continue
             each = np.array([len(t) for t in tokens])
             token, cls, size = np.concatenate(tokens), np.repeat(np.array(classes, np.int64), each), np.repeat(np.array(sizes, np.int32), each)
-            moved = np.where(_member(known.value[0], token), cls.view(np.uint64) & np.uint64(7), np.uint64(0))
+            moved = cls.view(np.uint64) % _fan(token)
             yield pa.RecordBatch.from_arrays(_packed((_range_of(token, ranges) + moved) % np.uint64(ranges), token, cls, size), names=["range", "tokens", "classes", "sizes"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,8 +229,8 @@ def _postings(texts: DataFrame, common: np.ndarray, shared: np.ndarray, percent:
             token, cls, size = token[new], cls[new], size[new]
             starts = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1])
             times = np.diff(np.append(starts, len(token)))
-            m, hot = np.repeat(times, times), _member(known.value[0], token)
-            m, keep = np.where(hot, m * 8, m), (m > 1) | hot
+            fan = _fan(token).astype(np.int64)
+            m, keep = np.repeat(times, times) * fan, (np.repeat(times, times) > 1) | (fan > 1)
             yield pa.RecordBatch.from_arrays([_longs(token[keep].view(np.int64)), _longs(cls[keep]), pa.array(size[keep], pa.int32()), _longs(m[keep])], names=["token", "class", "n", "m"])
 
     packed = texts.mapInArrow(spread, "range int, tokens binary, classes binary, sizes binary")
@@ -272,23 +290,37 @@ def _chained(postings: DataFrame, percent: int, cell_rows: int, turn: int) -> Da
 
 
 def _families(open_groups: DataFrame) -> DataFrame:
-    """(family, doc_id, n, root, m): the groups of tokens with the same smallest member as one, m members each.
+    """(family, doc_id, n, root): the groups of tokens with the same smallest member as one.
 
     Near copies share most of their tokens; their groups, which hold the same pairs over and over, become one family.
     """
     first = open_groups.groupBy("token").agg(F.min("doc_id").alias("family"))
-    members = open_groups.join(first, "token").select("family", "doc_id", "n", "root").distinct()
-    return members.join(members.groupBy("family").agg(F.count(F.lit(1)).alias("m")), "family")
+    return open_groups.join(first, "token").select("family", "doc_id", "n", "root").distinct()
+
+
+def _celled(families: DataFrame, cell_rows: int, least_rows: int = 64) -> DataFrame:
+    """families with each member's cell and the pairs of cells (lo, hi) it takes part in, a row for each.
+
+    Cells below "large" hold the largest component, whose members need not meet each other; the others meet all cells. Cells
+    are small while the others are few, so that a group is many units, and at most cell_rows rows and about CELL_BYTES.
+    """
+    by_root = families.groupBy("family", "root").agg(F.count(F.lit(1)).alias("own"), F.max(F.octet_length("bits")).alias("width"))
+    whole = by_root.groupBy("family").agg(F.max_by("root", F.struct("own", "root")).alias("first"), F.max("own").alias("most"), F.sum("own").alias("m"), F.max("width").alias("width"))
+    size = F.greatest(F.lit(least_rows), F.least(F.lit(cell_rows), F.ceil((F.col("m") - F.col("most")) / 16)))
+    size = F.greatest(F.lit(1), F.least(size, F.floor(F.lit(CELL_BYTES) / F.col("width")), F.lit(cell_rows)))
+    whole = whole.select("family", "first", F.ceil(F.col("most") / size).cast("int").alias("large"), F.ceil((F.col("m") - F.col("most")) / size).cast("int").alias("small"))
+    rows = families.join(whole, "family").where("small > 0").withColumn("in_first", F.col("root") == F.col("first"))
+    drawn = F.xxhash64("doc_id", F.lit(5))
+    cell = F.when(F.col("in_first"), F.pmod(drawn, F.col("large"))).otherwise(F.col("large") + F.pmod(drawn, F.col("small"))).cast("int")
+    others = F.sequence(F.when(F.col("in_first"), F.col("large")).otherwise(F.lit(0)), F.col("large") + F.col("small") - 1)
+    meets = F.transform(others, lambda d: F.struct(F.least(F.col("cell"), d).alias("lo"), F.greatest(F.col("cell"), d).alias("hi")))
+    rows = rows.withColumn("cell", cell).withColumn("meet", F.explode(meets))
+    return rows.select("family", F.col("meet.lo").alias("lo"), F.col("meet.hi").alias("hi"), "cell", "n", "doc_id", "root", "bits")
 
 
 def _searched(families: DataFrame, percent: int, cell_rows: int) -> DataFrame:
     """Pairs of different components that signature trees leave open, family by family. families have bits."""
-    cells = F.ceil(F.col("m") / cell_rows).cast("int")
-    cell = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("cells")).cast("int")
-    meets = F.transform(F.sequence(F.lit(0), F.col("cells") - 1), lambda d: F.struct(F.least(F.col("cell"), d).alias("lo"), F.greatest(F.col("cell"), d).alias("hi")))
-    rows = families.withColumn("cells", cells).withColumn("cell", cell).withColumn("meet", F.explode(meets))
-    rows = rows.select("family", F.col("meet.lo").alias("lo"), F.col("meet.hi").alias("hi"), "cell", "n", "doc_id", "root", "bits")
-    rows = rows.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "cell", "n", "doc_id")
+    rows = _celled(families, cell_rows).repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "cell", "n", "doc_id")
 
     def pairs(key: tuple, held: list[tuple]) -> pa.RecordBatch:
         cell, n, ids, root = (np.concatenate([h[k] for h in held]) for k in range(4))
@@ -329,8 +361,54 @@ def _searched(families: DataFrame, percent: int, cell_rows: int) -> DataFrame:
     return rows.mapInArrow(search, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame, percent: int = 80, common_over: int = 64, common_tokens: int = 200_000, cell_rows: int = 2048, range_documents: int = 4000) -> DataFrame:
+def _smallest(rows: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """Of the rows with equal values of by the smallest, in the order of its columns that have one."""
+    ordered = [c for c, kind in rows.dtypes if c in columns and not kind.startswith(("map", "array", "struct", "variant", "interval"))]
+    one = rows.groupBy(*by).agg(F.min_by(F.struct(*columns), F.struct(*ordered) if ordered else F.lit(0)).alias("_row"))
+    return one.select("_row.*")
+
+
+def _set_name(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for texts in batches:
+        sets = (shingle_set(t.encode()) if t else None for t in texts)
+        yield pd.Series([None if s is None or not len(s) else "{},{}".format(*identity(s)) for s in sets], index=texts.index, dtype=object)
+
+
+def one_of_each(documents: DataFrame, **options) -> DataFrame:
+    """documents without near copies: of each group the document with the smallest doc_id stays, with all its own columns.
+
+    Rows that share a doc_id are one document: all its different texts stay, and of rows with one text too the smallest. A row
+    without an id goes if a document with one has an equal set; of several such rows with equal sets the smallest stays. Rows
+    without words are no copies of anything, but a row repeated under its id is one document.
+    """
+    work, columns = Workspace(documents.sparkSession, "one-of-each"), documents.columns
+    rows = work.stage(grouped(documents, **options), "rows")
+    kept = rows.where("doc_id is not null and doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    key = fresh(documents, "_known")
+
+    def of(ids: DataFrame) -> DataFrame:
+        return documents.join(ids.select(F.col("doc_id").alias(key)), documents["doc_id"].cast("long") == F.col(key), "left_semi")
+
+    out = of(kept.where("n = 1"))
+    repeated = work.stage(kept.where("n > 1"), "repeated")
+    if not repeated.isEmpty():
+        out = out.unionByName(_smallest(of(repeated), ["doc_id", "text"], columns))
+    nameless = documents.where("doc_id is null")
+    if not nameless.isEmpty():
+        name, known = fresh(documents, "_set"), rows.where("doc_id is not null and n_shingles > 0").select("c1", "c2").distinct()
+        nameless = nameless.withColumn(name, F.pandas_udf(_set_name, "string")("text"))
+        alone = nameless.where(F.col(name).isNotNull()).join(known.select(F.concat_ws(",", "c1", "c2").alias(name)), name, "left_anti")
+        out = out.unionByName(_smallest(alone, [name], columns)).unionByName(nameless.where(F.col(name).isNull()).select(*columns))
+    return out.select(*columns)
+
+
+def near_duplicates(documents: DataFrame, **options) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of documents."""
+    return grouped(documents, **options).select("doc_id", "n_shingles", "component_id")
+
+
+def grouped(documents: DataFrame, percent: int = 80, common_over: int = 64, common_tokens: int = 200_000, cell_rows: int = 2048, range_documents: int = 4000) -> DataFrame:
+    """(doc_id, n_shingles, component_id, c1, c2): also the 128 bits that name each row's set."""
     spark, texts = documents.sparkSession, _texts(documents)
     work = Workspace(spark, "jaccard-join")
     measured = work.stage(_measure(texts), "measured")
@@ -338,10 +416,17 @@ def near_duplicates(documents: DataFrame, percent: int = 80, common_over: int =
     classes = work.stage(own.where("n > 0 and doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id")), "classes")
     # The order of tokens is free; this bounded list only keeps groups small.
     listed = measured.where("token is not null").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") > common_over).orderBy(F.desc("times"), "token").limit(common_tokens)
-    common = np.sort(listed.select("token").toArrow().column("token").to_numpy().astype(np.int64).view(np.uint64))
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), own.count() // range_documents)
-    met = work.stage(_postings(texts, common, _shared_filter(texts, ranges), percent), "met")
-    postings = met.join(classes.select(F.col("c1").alias("class"), "doc_id"), "class").select("token", "doc_id", "n", "m")
+    often = listed.toArrow()
+    common, times = often.column("token").to_numpy().astype(np.int64).view(np.uint64), often.column("times").to_numpy()
+    rows = own.count()
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // range_documents)
+    fans = np.clip(times // range_documents, 8, ranges).astype(np.uint64)
+    order, bits = np.argsort(common), filter_bits(rows, ranges)
+    known = spark.sparkContext.broadcast((common[order], fans[order], _shared_filter(texts, ranges, bits)))
+    met = work.stage(_postings(texts, known, ranges, bits, percent), "met")
+    known.destroy()
+    postings = work.stage(met.join(classes.select(F.col("c1").alias("class"), "doc_id"), "class").select("token", "doc_id", "n", "m"), "postings")
+    work.drop("met")
     sets = work.stage(_sets(texts.join(postings.select("doc_id").distinct(), "doc_id", "left_semi")), "sets")
     links = _verified(work, sets, _neighbours(postings, percent, cell_rows, best=2), percent, "neighbours")
     for turn in (1, 2):
@@ -357,11 +442,9 @@ def near_duplicates(documents: DataFrame, percent: int = 80, common_over: int =
         links = work.stage(links.unionByName(_verified(work, sets, more, percent, f"turn-{turn}")), f"links-{turn}")
         work.drop(f"labelled-{turn}")
     work.drop("sets")
-    work.drop("met")
-    roots = contract(work, links, "groups")
-    labelled = classes.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = labelled.join(smallest, "root").select("c1", "c2", "component_id")
+    work.drop("postings")
+    roots = contract(work, links, "groups").select(F.col("node").alias("doc_id"), "root")
+    named = classes.join(roots, "doc_id", "left").select("c1", "c2", F.coalesce("root", "doc_id").alias("component_id"))
     out = own.join(named, ["c1", "c2"], "left")
     alone = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), alone.alias("component_id"))
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), alone.alias("component_id"), "c1", "c2")

@@ -34,18 +34,29 @@ class Workspace:
     """Tables staged as Parquet below the shared folder. A lost executor costs a task of the writer, never the table."""
 
     def __init__(self, spark: SparkSession, purpose: str) -> None:
-        self.spark, self.root = spark, f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+        self.spark, self.root, self.leaves = spark, f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}", False
+
+    def _path(self, name: str = ""):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df and read it back: cuts its lineage."""
+        """Write df and read it back: cuts its lineage. What is never dropped goes when the driver ends."""
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
+        if not self.leaves:
+            root, files = self._path()
+            self.leaves = files.deleteOnExit(root)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
-        """Delete a staged table, or with no name all of them, once nothing reads it any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        """Delete a staged table, or with no name all of them, once nothing reads it any more.
+
+        The shuffle files and broadcasts that made it go when the driver collects its garbage, so that is asked for.
+        """
+        path, files = self._path(name)
+        files.delete(path, True)
+        self.spark._jvm.System.gc()
 
 
 def lower_ascii(column) -> Column:
