@@ -114,12 +114,13 @@ def test_shingles_across_stretches():
     assert (np.sort(shingle_set(text)) == np.unique(np.concatenate([shingle_set(" ".join(words[k : k + 2004]).encode()) for k in range(0, 40_000, 2000)]))).all()
 
 
-@pytest.mark.parametrize("adaptive", ["true", "false"])  # one partition, and several that must agree over turns
-def test_components(spark, adaptive):
+@pytest.mark.parametrize("adaptive,few", [("true", 0), ("false", 0), ("false", 50), ("false", 10_000)])  # one partition, and several that must agree over turns
+def test_components(spark, adaptive, few):
     rng, before = random.Random(5), spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     edges = [(k, k + 1) for k in range(300)] + [(1000, 1000 + k) for k in range(1, 200)] + [(rng.randrange(2000, 2300), rng.randrange(2000, 2300)) for _ in range(200)]
-    got = {r["node"]: r["root"] for r in contract(Workspace(spark, "test"), spark.createDataFrame(edges, "a long, b long"), "t").collect()}
+    got = {r["node"]: r["root"] for r in contract(Workspace(spark, "test"), spark.createDataFrame(edges, "a long, b long"), "t", few).collect()}
+    assert all(got[k] == 0 for k in range(301)) and got[1100] == 1000
     assert all(got[a] == got[b] for a, b in edges if a != b)
     assert len({got[k] for k in range(301)}) == 1 and len({got[1000 + k] for k in range(200)}) == 1 and got[0] != got[1000]
     spark.conf.set("spark.sql.adaptive.enabled", before)

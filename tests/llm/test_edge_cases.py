@@ -79,7 +79,7 @@ def test_decontamination(docs, benchmark):
     if docs.count():
         assert got == {(1, 1, 1), (2, 1, 1), (7, 4, 1), (8, 4, 1), (6, 5, 26)}
         assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 3, 4, 5, 9]
-        assert {(r["doc_id"], r["item_id"]) for r in contained_items(docs, benchmark, broadcast_rows=0).collect()} == {x[:2] for x in got}
+        assert {(r["doc_id"], r["item_id"]) for r in contained_items(docs, benchmark, broadcast_bytes=0).collect()} == {x[:2] for x in got}
     assert contained_items(docs, benchmark.limit(0)).count() == 0
 
 
@@ -106,7 +106,7 @@ def test_pages(spark):
     rows = read_archives(write_archives(decide(pages))).collect()
     got = sorted((r["page_id"] or 0, r["payload_bytes"], r["record_type"], r["refers_to"] or 0) for r in rows)
     assert got == [(0, 1, "response", 0), (1, 14, "revisit", 4), (2, 0, "revisit", 3), (3, 0, "response", 0), (4, 14, "response", 0), (4, 14, "response", 0), (5, 9004, "response", 0)]
-    assert all(r["kind"] == "record" for r in rows) and {r["url"] for r in rows} == {"u", None, "u%20v%0A"}
+    assert all(r["kind"] == "record" for r in rows) and {r["url"] for r in rows} == {"u", None, "u v\n"}
     assert read_archives(write_archives(decide(pages.limit(0)))).count() == 0 and extract_main_text(pages.limit(0)).count() == 0
 
 
