@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import quality as quality_model
 from tidemark.llm import secrets as secret_scan
 from tidemark.llm.decontamination import without_contaminated
-from tidemark.llm.jaccard_join import near_duplicates
+from tidemark.llm.jaccard_join import one_of_each
 from tidemark.llm.packing import pack
 from tidemark.llm.workspace import Workspace, fold, table
 
@@ -27,10 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id stays; repeated rows of it become one."""
-    kept = near_duplicates(docs).where("doc_id is null or component_id is null or doc_id = component_id")
-    kept = kept.where("doc_id is not null").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
