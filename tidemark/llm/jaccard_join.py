@@ -298,29 +298,36 @@ def _families(open_groups: DataFrame) -> DataFrame:
     return open_groups.join(first, "token").select("family", "doc_id", "n", "root").distinct()
 
 
-def _celled(families: DataFrame, cell_rows: int, least_rows: int = 64) -> DataFrame:
-    """families with each member's cell and the pairs of cells (lo, hi) it takes part in, a row for each.
+def _celled(families: DataFrame, cell_rows: int, least_rows: int = 64, heavy: int = 1000) -> DataFrame:
+    """The staged families with each member's cell and the pairs of cells (lo, hi) it takes part in, a row for each.
 
     Cells below "large" hold the largest component, whose members need not meet each other; the others meet all cells. Cells
-    are small while the others are few, so that a group is many units, and at most cell_rows rows and about CELL_BYTES.
+    are small while the others are few, so that a group is many units, and at most cell_rows rows and about CELL_BYTES. What a
+    member must know of its family is broadcast for families with more than one in heavy of all rows, heavy at most, so that
+    no family is a hot key.
     """
-    by_root = families.groupBy("family", "root").agg(F.count(F.lit(1)).alias("own"), F.max(F.octet_length("bits")).alias("width"))
+    total = families.count()
+    bitmap_bytes = 8 * F.pow(F.lit(2), F.greatest(F.lit(0), F.least(F.lit(14), F.ceil(F.log2(F.max("n"))) - 2)))
+    by_root = families.groupBy("family", "root").agg(F.count(F.lit(1)).alias("own"), bitmap_bytes.alias("width"))
     whole = by_root.groupBy("family").agg(F.max_by("root", F.struct("own", "root")).alias("first"), F.max("own").alias("most"), F.sum("own").alias("m"), F.max("width").alias("width"))
     size = F.greatest(F.lit(least_rows), F.least(F.lit(cell_rows), F.ceil((F.col("m") - F.col("most")) / 16)))
     size = F.greatest(F.lit(1), F.least(size, F.floor(F.lit(CELL_BYTES) / F.col("width")), F.lit(cell_rows)))
-    whole = whole.select("family", "first", F.ceil(F.col("most") / size).cast("int").alias("large"), F.ceil((F.col("m") - F.col("most")) / size).cast("int").alias("small"))
-    rows = families.join(whole, "family").where("small > 0").withColumn("in_first", F.col("root") == F.col("first"))
+    whole = whole.select("family", "first", F.ceil(F.col("most") / size).cast("int").alias("large"), F.ceil((F.col("m") - F.col("most")) / size).cast("int").alias("small"), (F.col("m") * heavy > total).alias("heavy"))
+    known = F.broadcast(whole.where("heavy"))
+    rows = families.join(known, "family").unionByName(families.join(known.select("family"), "family", "left_anti").join(whole.where("not heavy"), "family"))
+    rows = rows.where("small > 0").withColumn("in_first", F.col("root") == F.col("first"))
     drawn = F.xxhash64("doc_id", F.lit(5))
     cell = F.when(F.col("in_first"), F.pmod(drawn, F.col("large"))).otherwise(F.col("large") + F.pmod(drawn, F.col("small"))).cast("int")
     others = F.sequence(F.when(F.col("in_first"), F.col("large")).otherwise(F.lit(0)), F.col("large") + F.col("small") - 1)
     meets = F.transform(others, lambda d: F.struct(F.least(F.col("cell"), d).alias("lo"), F.greatest(F.col("cell"), d).alias("hi")))
     rows = rows.withColumn("cell", cell).withColumn("meet", F.explode(meets))
-    return rows.select("family", F.col("meet.lo").alias("lo"), F.col("meet.hi").alias("hi"), "cell", "n", "doc_id", "root", "bits")
+    return rows.select("family", F.col("meet.lo").alias("lo"), F.col("meet.hi").alias("hi"), "cell", "n", "doc_id", "root")
 
 
-def _searched(families: DataFrame, percent: int, cell_rows: int) -> DataFrame:
-    """Pairs of different components that signature trees leave open, family by family. families have bits."""
-    rows = _celled(families, cell_rows).repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "cell", "n", "doc_id")
+def _searched(families: DataFrame, sets: DataFrame, percent: int, cell_rows: int) -> DataFrame:
+    """Pairs of different components that signature trees leave open, family by family."""
+    rows = _celled(families, cell_rows).join(sets.select("doc_id", "bits"), "doc_id").select("family", "lo", "hi", "cell", "n", "doc_id", "root", "bits")
+    rows = rows.repartition("family", "lo", "hi").sortWithinPartitions("family", "lo", "hi", "cell", "n", "doc_id")
 
     def pairs(key: tuple, held: list[tuple]) -> pa.RecordBatch:
         cell, n, ids, root = (np.concatenate([h[k] for h in held]) for k in range(4))
@@ -419,10 +426,12 @@ def grouped(documents: DataFrame, percent: int = 80, common_over: int = 64, comm
     often = listed.toArrow()
     common, times = often.column("token").to_numpy().astype(np.int64).view(np.uint64), often.column("times").to_numpy()
     rows = own.count()
+    work.release()
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // range_documents)
     fans = np.clip(times // range_documents, 8, ranges).astype(np.uint64)
     order, bits = np.argsort(common), filter_bits(rows, ranges)
     known = spark.sparkContext.broadcast((common[order], fans[order], _shared_filter(texts, ranges, bits)))
+    work.release()
     met = work.stage(_postings(texts, known, ranges, bits, percent), "met")
     known.destroy()
     postings = work.stage(met.join(classes.select(F.col("c1").alias("class"), "doc_id"), "class").select("token", "doc_id", "n", "m"), "postings")
@@ -438,7 +447,7 @@ def grouped(documents: DataFrame, percent: int = 80, common_over: int = 64, comm
         if turn == 1:
             more = _chained(open_groups, percent, cell_rows, turn)
         else:
-            more = _searched(_families(open_groups).join(sets.select("doc_id", "bits"), "doc_id"), percent, cell_rows)
+            more = _searched(work.stage(_families(open_groups), "families"), sets, percent, cell_rows)
         links = work.stage(links.unionByName(_verified(work, sets, more, percent, f"turn-{turn}")), f"links-{turn}")
         work.drop(f"labelled-{turn}")
     work.drop("sets")

@@ -50,12 +50,13 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
-        """Delete a staged table, or with no name all of them, once nothing reads it any more.
-
-        The shuffle files and broadcasts that made it go when the driver collects its garbage, so that is asked for.
-        """
+        """Delete a staged table, or with no name all of them, once nothing reads it any more."""
         path, files = self._path(name)
         files.delete(path, True)
+        self.release()
+
+    def release(self) -> None:
+        """Ask the driver to collect its garbage: shuffle files and broadcasts of finished steps go only then."""
         self.spark._jvm.System.gc()
 
 
