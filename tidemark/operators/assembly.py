@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequence import CHUNK, carry_all, carry_last
+from .sequence import CHUNK, carry_all, carry_last, running_sum
 
 UNITS = ("I", "U", "D", "T", "M")
 CONTROL = ("B", "C", "S", "E", "c", "A", "b", "P", "p", "K", "r")
@@ -29,13 +29,12 @@ def _key(letter: str, name: Column, opened: Column) -> Column:
     return F.concat_ws(":", F.lit(letter), name.cast("string"), opened.cast("string"))
 
 
-def openings(messages: DataFrame) -> DataFrame:
-    """Control messages with the key of the transaction they belong to. Windows are by transaction id or by gid, never by slot."""
-    control = messages.where(_kind(*CONTROL))
-    by_xid = Window.partitionBy("slot", "xid").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    streamed = control.where(_kind("S", "c", "A", "p")).withColumn("opened", F.last(F.when(_kind("S") & F.col("first_segment"), F.col("seq")), True).over(by_xid))
-    streamed = streamed.withColumn("txn_key", _key("S", F.col("xid"), F.col("opened")))
-    return streamed
+def openings(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Control messages with the key of the transaction they belong to, carried by transaction id over chunks of the stream: a
+    transaction of millions of blocks is many tasks."""
+    marks = messages.where(_kind("S", "c", "A", "p"))
+    streamed = carry_last(marks, F.when(_kind("S") & F.col("first_segment"), F.col("seq")), "opened", ["slot", "xid"], "seq", chunk)
+    return streamed.withColumn("txn_key", _key("S", F.col("xid"), F.col("opened")))
 
 
 def route(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -44,7 +43,7 @@ def route(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     Adds txn_key, stream_xid (the xid a streamed unit names: its sub-transaction) and mode. Messages that are not
     transactional and lie outside of everything have no key.
     """
-    opened = openings(messages).where(_kind("S")).select("slot", "seq", "txn_key")
+    opened = openings(messages, chunk).where(_kind("S")).select("slot", "seq", "txn_key")
     marks = messages.join(opened, ["slot", "seq"], "left")
     shown = {
         "_block": F.when(_kind("S"), F.col("txn_key")).when(_kind("E"), F.lit("")),
@@ -64,23 +63,22 @@ def endings(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     normal = carry_last(control.where(_kind("B", "C")), F.when(_kind("B"), _key("N", F.coalesce("xid", F.lit(0)), F.col("seq"))), "txn_key", ["slot"], "seq", chunk)
     normal = normal.where(_kind("C")).withColumn("outcome", F.lit("commit")).withColumn("mode", F.lit("NORMAL"))
     prepared = carry_last(control.where(_kind("b", "P")), F.when(_kind("b"), _key("P", F.col("gid"), F.col("seq"))), "txn_key", ["slot"], "seq", chunk).where(_kind("P"))
-    named = openings(messages)
+    named = openings(messages, chunk)
     streamed = named.where(_kind("c") | _kind("A") & (F.col("subxid") == F.col("xid")))
     streamed = streamed.withColumn("outcome", F.when(_kind("c"), "commit").otherwise("abort")).withColumn("mode", F.lit("STREAMED"))
     # A gid names the transaction prepared last under it.
     pool = prepared.select("slot", "seq", "gid", "txn_key").unionByName(named.where(_kind("p")).select("slot", "seq", "gid", "txn_key"))
     later = messages.where(_kind("K", "r"))
     both = later.withColumn("txn_key", F.lit(None).cast("string")).unionByName(pool.withColumn("kind", F.lit("P")), allowMissingColumns=True)
-    by_gid = Window.partitionBy("slot", "gid").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    decided = both.withColumn("txn_key", F.last("txn_key", True).over(by_gid)).where(_kind("K", "r"))
+    decided = carry_last(both, F.col("txn_key"), "txn_key", ["slot", "gid"], "seq", chunk).where(_kind("K", "r"))
     decided = decided.withColumn("outcome", F.when(_kind("K"), "commit").otherwise("rollback")).withColumn("mode", F.lit("TWO_PHASE"))
     columns = ["slot", "txn_key", "outcome", "mode", "xid", "gid", F.col("seq").alias("end_seq"), "commit_lsn", "end_lsn", "commit_ts"]
     return normal.select(*columns).unionByName(streamed.select(*columns)).unionByName(decided.select(*columns)).where("txn_key is not null")
 
 
-def aborted_parts(messages: DataFrame) -> DataFrame:
+def aborted_parts(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(txn_key, stream_xid) of rolled-back sub-transactions."""
-    parts = openings(messages).where(_kind("A") & (F.col("subxid") != F.col("xid")))
+    parts = openings(messages, chunk).where(_kind("A") & (F.col("subxid") != F.col("xid")))
     return parts.select("txn_key", F.col("subxid").alias("stream_xid")).distinct()
 
 
@@ -89,14 +87,14 @@ def committed_units(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     ends = endings(messages, chunk).where("outcome = 'commit'").select("txn_key", "mode", "end_seq", F.col("gid").alias("txn_gid"), F.col("commit_lsn").alias("txn_lsn"), F.col("end_lsn").alias("txn_end_lsn"), F.col("commit_ts").alias("txn_ts"))
     units = route(messages, chunk).where("txn_key is not null").join(ends, "txn_key")
     stream_xid = F.when(F.col("in_stream"), F.col("subxid"))
-    gone = aborted_parts(messages).withColumn("aborted", F.lit(True))
+    gone = aborted_parts(messages, chunk).withColumn("aborted", F.lit(True))
     return units.withColumn("stream_xid", stream_xid).join(gone, ["txn_key", "stream_xid"], "left").withColumn("aborted", F.coalesce("aborted", F.lit(False)))
 
 
 def changes(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Surviving units, numbered within their transaction in order of arrival."""
+    """Surviving units, numbered within their transaction in order of arrival: chunk by chunk, so that a giant one is many tasks."""
     kept = committed_units(messages, chunk).where("not aborted")
-    return kept.withColumn("ord", F.row_number().over(Window.partitionBy("txn_key").orderBy("seq")))
+    return running_sum(kept, F.lit(1), "ord", ["txn_key"], "seq", chunk)
 
 
 def transactions(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -107,7 +105,7 @@ def transactions(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     parts = units.groupBy("txn_key", "stream_xid").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(_kind("I")).alias("i"), F.count_if(_kind("U")).alias("u"), F.count_if(_kind("D")).alias("d"), F.min("seq").alias("lo"), F.max("seq").alias("hi")
     )
-    gone = aborted_parts(messages).withColumn("aborted", F.lit(True))
+    gone = aborted_parts(messages, chunk).withColumn("aborted", F.lit(True))
     parts = parts.join(gone, ["txn_key", "stream_xid"], "left").withColumn("live", F.col("aborted").isNull())
     kept = lambda c: F.when(F.col("live"), F.col(c))
     counts = parts.groupBy("txn_key").agg(
@@ -131,10 +129,18 @@ def low_water_mark(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return top.join(low, "slot", "left").select("slot", F.coalesce("low_seq", "next_seq").alias("low_seq"))
 
 
-def blocks(numbered: DataFrame) -> DataFrame:
-    """Streamed events folded into a row per transaction: its changes as an ordered array."""
+def blocks(numbered: DataFrame, most: int = 100_000) -> DataFrame:
+    """Streamed events folded into rows of at most so many changes: (txn_key, end_seq, block, changes as an ordered array).
+    Blocks are numbered from 0; all but giant transactions have one."""
     item = F.struct("ord", "seq", "kind")
-    return numbered.groupBy("txn_key", "end_seq").agg(F.sort_array(F.collect_list(item)).alias("changes"))
+    block = F.floor((F.col("ord") - 1) / most).cast("int").alias("block")
+    return numbered.groupBy("txn_key", "end_seq", block).agg(F.sort_array(F.collect_list(item)).alias("changes"))
+
+
+def relations_touched(units: DataFrame, oid: str) -> DataFrame:
+    """(txn_key, oid) of the relations that each transaction's units name, each once. oid: a column of one or an array of them."""
+    many = units.schema[oid].dataType.typeName() == "array"
+    return units.where("txn_key is not null").select("txn_key", (F.explode(oid) if many else F.col(oid)).alias("oid")).where("oid is not null").distinct()
 
 
 def frontier(transactions_done: DataFrame, received: DataFrame) -> DataFrame:
@@ -166,7 +172,7 @@ def violations(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
         .when(_kind("P") & (F.coalesce("_prev.kind", F.lit("P")) == "P"), "prepare without begin")
         .when(_kind("P") & (F.col("_prev.gid") != F.col("gid")), "gid differs"),
     )
-    named = openings(messages).withColumn("problem", F.when(F.col("opened").isNull(), F.when(_kind("S"), "later block of an unknown transaction").otherwise("end of an unknown transaction")))
+    named = openings(messages, chunk).withColumn("problem", F.when(F.col("opened").isNull(), F.when(_kind("S"), "later block of an unknown transaction").otherwise("end of an unknown transaction")))
     by_gid = Window.partitionBy("slot", "gid").orderBy("seq")
     pool = messages.where(_kind("P", "p", "K", "r")).withColumn("_prev", F.lag("kind").over(by_gid))
     pool = pool.withColumn(
@@ -177,12 +183,14 @@ def violations(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
-    lost = route(messages, chunk).where(F.col("txn_key").isNull() & _kind("I", "U", "D", "T")).select("slot", "seq", "kind", F.lit("change outside of transactions").alias("problem"))
-    return out.unionByName(lost)
+    # Within a block every unit names its transaction, outside none does: a transaction never mixes both.
+    mixed = F.when(F.col("in_stream") & F.col("subxid").isNull(), "unit without a transaction id in a block").when(~F.col("in_stream") & F.col("subxid").isNotNull(), "unit with a transaction id outside of blocks")
+    units = route(messages, chunk).withColumn("problem", F.when(F.col("txn_key").isNull(), F.when(_kind("I", "U", "D", "T"), "change outside of transactions")).otherwise(mixed))
+    return out.unionByName(units.where("problem is not null").select("slot", "seq", "kind", "problem"))
 
 
 def reconciliation(transactions_done: DataFrame, delivered: DataFrame) -> DataFrame:
     """Transactions whose delivered changes differ from those announced, or exceed those expected."""
     got = delivered.groupBy("txn_key").agg(F.count(F.lit(1)).alias("delivered"))
     both = transactions_done.join(got, "txn_key", "left").withColumn("delivered", F.coalesce("delivered", F.lit(0)))
-    return both.where((F.col("delivered") != F.col("emitted_changes")) | (F.col("emitted_changes") > F.col("expected_changes"))).select("txn_key", "expected_changes", "emitted_changes", "delivered")
+    return both.where((F.col("delivered") != F.col("emitted_changes")) | (F.col("emitted_changes") > F.col("expected_changes"))).select("txn_key", "end_seq", "expected_changes", "emitted_changes", "delivered")

@@ -55,6 +55,15 @@ def partition_filter(rows: DataFrame, tables: list[str]) -> DataFrame:
     return rows.where(parent.isin(*tables) | part.isin(*tables)) if tables else rows
 
 
+def partition_semi_filter(rows: DataFrame, allowed: DataFrame, name: str) -> DataFrame:
+    """The same for a list that is a table with a column of schema.table names: rows pass once, whichever name is listed."""
+    listed = allowed.select(F.col(name).alias("_listed")).distinct()
+    parent, part = F.concat_ws(".", "parent_schema", "parent_tbl"), F.concat_ws(".", "parent_schema", "part_name")
+    by_parent = rows.withColumn("_name", parent).join(listed, F.col("_name") == F.col("_listed"), "left_semi")
+    by_part = rows.withColumn("_name", parent).join(listed, F.col("_name") == F.col("_listed"), "left_anti")
+    return by_parent.unionByName(by_part.withColumn("_name", part).join(listed, F.col("_name") == F.col("_listed"), "left_semi")).drop("_name")
+
+
 def partition_misses(rows: DataFrame, partitions: DataFrame, classes: DataFrame) -> DataFrame:
     """Rows whose partition or whose partition's parent isn't known."""
     complete = partitions.join(classes.select(F.col("oid").alias("parent_oid")), "parent_oid", "left_semi")
@@ -83,7 +92,7 @@ def not_yet_applied(end: Column, applied: Column) -> Column:
     return end > F.coalesce(applied, F.lit(0))
 
 
-def before_lsn(lsn: Column, limit: int | None) -> Column:
+def before_lsn(lsn: Column, limit: Column | int | None) -> Column:
     return F.lit(True) if limit is None else lsn < limit
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,12 @@ def resolve_relation(rows: DataFrame, classes: DataFrame, namespaces: DataFrame,
     return found.select(*rows.columns, F.col("_r.oid").alias("oid"), F.col("_r.schema").alias("schema"), F.col("_r.tbl").alias("tbl")).join(columns, "oid", "left")
 
 
+def joined_bytes(parts: str, data: str) -> Column:
+    """The binary field of an array of structs, in its order, as one value: joined as hex text, so that each part is copied a
+    fixed number of times however many there are."""
+    return F.unhex(F.array_join(F.transform(parts, lambda p: F.hex(p[data])), ""))
+
+
 def assemble_chunks(pointers: DataFrame, chunks: DataFrame) -> DataFrame:
     """pointers (value_id, size) with the whole value of their chunks (value_id, chunk_seq, data), or why there is none.
 
@@ -29,7 +35,7 @@ def assemble_chunks(pointers: DataFrame, chunks: DataFrame) -> DataFrame:
     """
     parts = F.sort_array(F.collect_list(F.struct("chunk_seq", "data")))
     whole = chunks.dropDuplicates(["value_id", "chunk_seq"]).groupBy("value_id").agg(parts.alias("_p"))
-    data = F.aggregate("_p", F.lit(b""), lambda acc, p: F.concat(acc, p["data"]))
+    data = joined_bytes("_p", "data")
     dense = F.element_at("_p", -1)["chunk_seq"] == F.size("_p") - 1
     joined = pointers.join(whole.select("value_id", data.alias("_d"), dense.alias("_dense")), "value_id", "left")
     ok = F.col("_dense") & (F.length("_d") == F.col("size"))
@@ -53,12 +59,17 @@ def with_catalog(columns: DataFrame, catalog: DataFrame) -> DataFrame:
     return columns.join(catalog.select("rel_oid", "name", "default_expr", "nullable", "is_pk"), ["rel_oid", "name"], "left")
 
 
-def base_types(types: DataFrame, depth: int = 8) -> DataFrame:
-    """(oid, base_oid): domains resolved to what they are made of, at most depth steps. types: oid, base (0 if none)."""
+def base_types(types: DataFrame, depth: int = 64) -> DataFrame:
+    """(oid, base_oid): domains resolved to what they are made of. types: oid, base (0 if none).
+
+    Each turn doubles the steps covered. A type that isn't resolved after depth steps, one of a cycle or of a longer chain, has
+    a null base instead of a wrong one.
+    """
     resolved = types.select("oid", F.when(F.col("base") != 0, F.col("base")).otherwise(F.col("oid")).alias("base_oid"))
     steps = 1
-    while steps < depth:  # each turn doubles the steps covered
+    while steps < depth:
         above = resolved.select(F.col("oid").alias("base_oid"), F.col("base_oid").alias("_up"))
         resolved = resolved.join(above, "base_oid", "left").select("oid", F.coalesce("_up", "base_oid").alias("base_oid"))
         steps *= 2
-    return resolved
+    derived = types.where("base <> 0").select(F.col("oid").alias("base_oid"), F.lit(True).alias("_derived"))
+    return resolved.join(derived, "base_oid", "left").select("oid", F.when(F.col("_derived").isNull(), F.col("base_oid")).alias("base_oid"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .assembly import open_transactions
+from .lookups import joined_bytes
 
 def counters(df: DataFrame, by: list[str], kind: str = "kind", size: Column | None = None) -> DataFrame:
     """Cumulative counts: messages, rows, transactions, and bytes where a size is known."""
@@ -39,8 +41,9 @@ def two_digits(value: Column) -> Column:
     return F.when(value == 0, F.lit(0.0)).otherwise(F.round(value / size) * size)
 
 
-def distribution(df: DataFrame, value: str, by: list[str], exact: bool = True) -> DataFrame:
-    """p90, p95 and max; the approximate form merges sketches and suits any volume."""
+def distribution(df: DataFrame, value: str, by: list[str], exact: bool = False) -> DataFrame:
+    """p90, p95 and max. The default merges sketches of bounded size and suits any volume; the exact form holds all distinct
+    values of a group."""
     q = (lambda p: F.percentile(value, F.lit(p))) if exact else (lambda p: F.percentile_approx(value, p, 10_000))
     return df.groupBy(*by).agg(q(0.9).alias("p90"), q(0.95).alias("p95"), F.max(value).alias("max"))
 
@@ -54,6 +57,16 @@ def lag_bytes(received: Column, confirmed: Column) -> Column:
     return F.greatest(received - confirmed, F.lit(0))
 
 
+def pending(messages: DataFrame) -> DataFrame:
+    """(slot, pending_prepared, open_units): prepared transactions without a decision, and units not put out yet, which is what
+    the pipe still holds."""
+    prepared = messages.where(F.col("kind").isin("P", "p")).groupBy("slot").agg(F.count(F.lit(1)).alias("_p"))
+    decided = messages.where(F.col("kind").isin("K", "r")).groupBy("slot").agg(F.count(F.lit(1)).alias("_d"))
+    units = open_transactions(messages).groupBy("slot").agg(F.sum("n_units").alias("_u"))
+    out = messages.select("slot").distinct().join(prepared, "slot", "left").join(decided, "slot", "left").join(units, "slot", "left").fillna(0, ["_p", "_d", "_u"])
+    return out.select("slot", (F.col("_p") - F.col("_d")).alias("pending_prepared"), F.col("_u").alias("open_units"))
+
+
 def census(records: DataFrame, rmid: str = "rmid", info: str = "info") -> DataFrame:
     """Records by resource manager and operation."""
     return records.groupBy(rmid, F.col(info).bitwiseAND(0xF0).alias("op")).agg(F.count(F.lit(1)).alias("n"))
@@ -71,6 +84,5 @@ def stream_health(pages: DataFrame) -> DataFrame:
 
 def file_digest(records: DataFrame, file: str, order: str, content: str) -> DataFrame:
     """(file, n, crc32) over a file's records in their order; one file's records are one file's size."""
-    joined = F.sort_array(F.collect_list(F.struct(order, content)))
-    data = F.aggregate(joined, F.lit(b""), lambda acc, r: F.concat(acc, r[content]))
-    return records.groupBy(file).agg(F.count(F.lit(1)).alias("n"), F.crc32(data).alias("crc32"))
+    parts = records.groupBy(file).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct(order, content))).alias("_p"))
+    return parts.select(file, "n", F.crc32(joined_bytes("_p", content)).alias("crc32"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import struct
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import itemgetter
 
 import pyarrow as pa
@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import pgvalues
-from ..operators.sequence import running_sum
+from ..operators.lookups import assemble_chunks, joined_bytes
+from ..operators.sequence import as_of_join, running_sum
 
 
 @dataclass(frozen=True)
@@ -28,11 +29,28 @@ class Layout:
     page: int = 8192
     record_header: int = 24
     stats_item: int = 12
+    xid_at: int = 4
+    info_at: int = 16
+    node_bytes: int = 12
+    block_tail: int = 0  # bytes behind a block reference's page number
+    update_main: int = 14
+    delete_main: int = 8
+    name_bytes: int = 64
+    gauss: bool = False  # transaction ids of 64 bits, its own transaction records, images that state their hole only
 
 
 # Page magics and record layouts of server versions.
 PG17, PG18 = Layout(), Layout(magic=0xD118, stats_item=16)
+GAUSS = Layout(magic=0xD074, record_header=32, xid_at=8, info_at=24, node_bytes=14, block_tail=8, update_main=13, delete_main=11, gauss=True)
+GAUSS_WIDE = replace(GAUSS, name_bytes=128)
 LAYOUTS = {"17": PG17, "18": PG18}
+#: Transaction records of the openGauss family: offsets of the sub-transactions in whole and compact commits, aborts and
+#: assignments, sizes of a relation entry, and by magic the size of a prepare's header.
+GAUSS_COMMIT, GAUSS_COMPACT, GAUSS_ABORT, GAUSS_ASSIGNMENT = 48, 24, 20, 16
+GAUSS_RELATION, GAUSS_RELATION_PACKED, GAUSS_PACKED = 20, 24, 0x04
+GAUSS_PREPARE = {0x57F94532: 264, 0x57F94533: 272, 0x57F94534: 272}
+GAUSS_GID, GAUSS_GID_BYTES = 53, 200
+GAUSS_XACT_OPS = {0x60: "commit", 0x70: "abort"}
 CONTINUES, LONG_PAGE = 1, 2
 RM_XACT, RM_HEAP2, RM_HEAP = 1, 9, 10
 HEAP_OPS = {0x00: "insert", 0x10: "delete", 0x20: "update", 0x30: "truncate", 0x40: "update", 0x50: "confirm", 0x60: "lock", 0x70: "inplace"}
@@ -51,6 +69,20 @@ def layout_for(version: str) -> Layout:
     return LAYOUTS[major]
 
 
+def layout_of(number: int, text: str | None = None, name_bytes: int | None = None) -> Layout:
+    """By server_version_num; releases that report 9.2 are told apart by the version's text, or else by the length of a name
+    column in the catalog."""
+    if number // 10_000 in (17, 18):
+        return LAYOUTS[str(number // 10_000)]
+    if number // 10_000 == 9:
+        if text and "openGauss" in text:
+            if "openGauss 5.0." in text:
+                return GAUSS
+        elif name_bytes == 128:
+            return GAUSS_WIDE
+    raise WalError(f"no layout for server {number}: {text} (names of {name_bytes} bytes)")
+
+
 def _aligned(n: int, to: int = 8) -> int:
     return -(-n // to) * to
 
@@ -77,24 +109,31 @@ def walk(segment: bytes, start: int, layout: Layout = PG17) -> Iterator[tuple[st
         return o + _aligned(lsn + end - o) - lsn
 
     def records(final: bool) -> Iterator[tuple[str, int, bytes]]:
-        at = 0
+        at, whole, size, header = 0, bytes(data), len(data), layout.record_header
         if head_left:
-            yield "head", marks[0][1], bytes(data[: min(head_left, len(data))])
-            at = after(head_left) if head_left < len(data) else len(data)
-        while at + 4 <= len(data):
-            (total,) = struct.unpack_from("<I", data, at)
+            yield "head", marks[0][1], whole[: min(head_left, size)]
+            at = after(head_left) if head_left < size else size
+        k, last = bisect_right(marks, at, key=_offset) - 1, len(marks) - 1
+        while at + 4 <= size:
+            total = int.from_bytes(whole[at : at + 4], "little")
             if total == 0:
                 return
-            if total < layout.record_header:
-                yield "lost", lsn_of(at), bytes(data[at:])
+            if total < header:
+                yield "lost", lsn_of(at), whole[at:]
                 return
-            if at + total > len(data):
-                yield "tail" if final else "lost", lsn_of(at), bytes(data[at:])
+            end = at + total
+            if end > size:
+                yield "tail" if final else "lost", lsn_of(at), whole[at:]
                 return
-            yield "record", lsn_of(at), bytes(data[at : at + total])
-            at = after(at + total)
-        if at < len(data) and any(data[at:]):
-            yield "tail" if final else "lost", lsn_of(at), bytes(data[at:])
+            while k < last and marks[k + 1][0] <= at:
+                k += 1
+            yield "record", marks[k][1] + at - marks[k][0], whole[at:end]
+            while k < last and marks[k + 1][0] < end:
+                k += 1
+            offset, lsn = marks[k]
+            at = offset - lsn + (lsn + end - offset + 7 & -8)
+        if at < size and any(whole[at:]):
+            yield "tail" if final else "lost", lsn_of(at), whole[at:]
 
     for at in range(0, len(segment), layout.page):
         page = segment[at : at + layout.page]
@@ -123,24 +162,49 @@ def read_records(segments: DataFrame, segment_bytes: int = 16 << 20, layout: Lay
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for number, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows = []
+                kinds, lsns, raws, held = [], [], [], 0
                 for kind, lsn, raw in walk(content, number * segment_bytes, layout):
-                    rows.append({"segment_no": number, "kind": kind, "lsn": lsn, "raw": raw})
-                    if len(rows) == 2000:
-                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                        rows = []
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    kinds.append(kind)
+                    lsns.append(lsn)
+                    raws.append(raw)
+                    held += len(raw)
+                    if held > 4 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array([number] * len(lsns), pa.int64()), pa.array(kinds, pa.string()), pa.array(lsns, pa.int64()), pa.array(raws, pa.binary())], schema=schema)
+                        kinds, lsns, raws, held = [], [], [], 0
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(lsns), pa.int64()), pa.array(kinds, pa.string()), pa.array(lsns, pa.int64()), pa.array(raws, pa.binary())], schema=schema)
 
     parts = segments.select("segment_no", "content").mapInArrow(parse, "segment_no long, kind string, lsn long, raw binary")
     whole = parts.where("kind = 'record'").select("lsn", "raw")
-    pieces = running_sum(parts.where("kind in ('head', 'tail')").withColumn("all", F.lit(0)), (F.col("kind") == "tail").cast("int"), "number", ["all"], "lsn")
+    # A few rows a segment; numbered in stretches of 4096 segments.
+    pieces = running_sum(parts.where("kind in ('head', 'tail')").withColumn("all", F.lit(0)), (F.col("kind") == "tail").cast("int"), "number", ["all"], "lsn", segment_bytes << 12)
     joined = pieces.where("number > 0").groupBy("number").agg(F.sort_array(F.collect_list(F.struct("lsn", "raw"))).alias("p"))
-    glued = joined.select(F.col("p")[0]["lsn"].alias("lsn"), F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["raw"])).alias("raw"))
-    size = F.conv(F.hex(F.reverse(F.substring("raw", 1, 4))), 16, 10).cast("long")
+    glued = joined.select(F.col("p")[0]["lsn"].alias("lsn"), joined_bytes("p", "raw").alias("raw"))
+    size = F.conv(F.concat(*(F.hex(F.substring("raw", k, 1)) for k in (4, 3, 2, 1))), 16, 10).cast("long")
     records = whole.unionByName(glued.where(F.length("raw") == size))
     return records if end_lsn is None else records.where(F.col("lsn") < end_lsn)
 
 
+HEALTH = ("records", "heads", "tails", "lost", "lost_bytes", "zero_pages")
+
+
+def log_health(segments: DataFrame, segment_bytes: int = 16 << 20, layout: Layout = PG17) -> DataFrame:
+    """(segment_no, records, heads, tails, lost, lost_bytes, zero_pages): what the walker met in each segment: whole records,
+    rests of records before it and beginnings of records behind it, stretches it had to skip, and pages after the log's end."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for number, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                seen = dict.fromkeys(HEALTH, 0)
+                for kind, _, raw in walk(content, number * segment_bytes, layout):
+                    seen["lost" if kind == "lost" else kind + "s"] += 1
+                    seen["lost_bytes"] += len(raw) if kind == "lost" else 0
+                pages = [content[k : k + layout.page] for k in range(0, len(content), layout.page)]
+                seen["zero_pages"] = sum(not any(p) for p in pages)
+                yield pa.RecordBatch.from_pylist([{"segment_no": number} | seen])
+
+    return segments.select("segment_no", "content").mapInArrow(count, "segment_no long, " + ", ".join(f"{n} long" for n in HEALTH))
+
+
 def audit_segments(segments: DataFrame, first: int) -> DataFrame:
     """(problem, segment_no): the first segment is missing, gaps, more than one timeline. segments: timeline, segment_no."""
     order = Window.orderBy("segment_no")
@@ -153,7 +217,7 @@ def audit_segments(segments: DataFrame, first: int) -> DataFrame:
 
 def parse_record(raw: bytes, layout: Layout = PG17) -> dict:
     """Header, block references with image and data, main data."""
-    total, xid, previous, info, rmid, crc = struct.unpack_from("<IIQBB2xI", raw)
+    total, xid, previous, info, rmid, crc = struct.unpack_from("<I4xQQBB2xI" if layout.gauss else "<IIQBB2xI", raw)
     if total != len(raw):
         raise WalError(f"record of {total} bytes in {len(raw)}")
     at, blocks, main_size, origin, top = layout.record_header, [], 0, None, None
@@ -170,21 +234,24 @@ def parse_record(raw: bytes, layout: Layout = PG17) -> dict:
         elif key <= 32:
             flags, size = struct.unpack_from("<BH", raw, at + 1)
             used, image, hole, hole_size, image_info = 4, 0, 0, 0, 0
-            if flags & 0x10:
+            if flags & 0x10 and layout.gauss:
+                hole, hole_size = struct.unpack_from("<HH", raw, at + used)
+                image, used = layout.page - hole_size, used + 4
+            elif flags & 0x10:
                 image, hole, image_info = struct.unpack_from("<HHB", raw, at + used)
                 used += 5
                 if image_info & 0x1C and image_info & 1:
                     (hole_size,) = struct.unpack_from("<H", raw, at + used)
                     used += 2
                 elif image_info & 1:
-                    hole_size = 8192 - image
+                    hole_size = layout.page - image
             if not flags & 0x80:
                 same = struct.unpack_from("<III", raw, at + used)
-                used += 12
+                used += layout.node_bytes
             if same is None:
                 raise WalError("block refers to an earlier relation that isn't there")
             (number,) = struct.unpack_from("<I", raw, at + used)
-            used += 4
+            used += 4 + layout.block_tail
             blocks.append({"id": key, "flags": flags, "image_size": image, "hole": hole, "hole_size": hole_size, "image_info": image_info, "data_size": size, "space": same[0], "db": same[1], "node": same[2], "number": number})
         else:
             raise WalError(f"unknown block id {key}")
@@ -250,6 +317,55 @@ def decode_tuple(infomask2: int, infomask: int, hoff: int, body: bytes, attribut
     return out
 
 
+def _plain_insert(raw: bytes, layout: Layout) -> tuple[int, int, int] | None:
+    """(xid, node, where the tuple's header begins) of an insert with one block that holds its data, as nearly all have; None
+    for any other record."""
+    if layout.gauss or raw[16] & 0x70 or raw[24] or raw[25] != 0x20 or raw[44] != 255:
+        return None
+    return int.from_bytes(raw[4:8], "little"), int.from_bytes(raw[36:40], "little"), 46
+
+
+class TupleDecoder:
+    """decode_tuple for one relation, with a reader for each column made beforehand."""
+
+    def __init__(self, attributes: list[Attribute]) -> None:
+        self.attributes = attributes
+        self.readers = [(a.length, a.align, _NUMBERS.get(a.type_oid), a.type_oid) for a in attributes]
+
+    def __call__(self, raw: bytes, at: int) -> list:
+        """The tuple of a plain insert: its header stands at a place of the record, its size in the block reference."""
+        mask2, mask, hoff = struct.unpack_from("<HHB", raw, at)
+        return self.parts(mask2, mask, hoff, raw[at + 5 : at + int.from_bytes(raw[26:28], "little")])
+
+    def parts(self, mask2: int, mask: int, hoff: int, body: bytes) -> list:
+        if mask & 1 or mask2 & 0x7FF < len(self.readers):
+            return decode_tuple(mask2, mask, hoff, body, self.attributes)
+        at, out, size = hoff - 23, [], len(body)
+        for length, align, number, oid in self.readers:
+            if length < 0:
+                if at >= size:
+                    raise WalError("tuple ends before a value")
+                first = body[at]
+                if first & 1 and first != 1:  # a short header
+                    end = at + (first >> 1)
+                    value = body[at + 1 : end]
+                    out.append(value.decode() if oid == 25 or oid == 1043 else disk_text(oid, value))
+                    at = end
+                    continue
+                if not first:
+                    at = _aligned(at + 23, align) - 23
+                value, at = _varlena(body, at)
+                out.append(value if isinstance(value, tuple) else disk_text(oid, value))
+                continue
+            at = (at + 23 + align - 1) // align * align - 23
+            end = at + length
+            if end > size:
+                raise WalError("tuple ends within a value")
+            out.append(number(body, at) if number else disk_text(oid, body[at:end]))
+            at = end
+        return out
+
+
 def _varlena(body: bytes, at: int) -> tuple:
     if at >= len(body):
         raise WalError("tuple ends before a value")
@@ -270,6 +386,19 @@ def _varlena(body: bytes, at: int) -> tuple:
     return content, at + size
 
 
+def _number(form: str):
+    unpack = struct.Struct(form).unpack_from
+    return lambda body, at: str(unpack(body, at)[0])
+
+
+def _double(body: bytes, at: int) -> str:
+    return pgvalues.float_text(struct.unpack_from("<d", body, at)[0], 15)
+
+
+#: Readers of numbers by type.
+_NUMBERS = {21: _number("<h"), 23: _number("<i"), 20: _number("<q"), 26: _number("<I"), 701: _double}
+
+
 def inflate(content: bytes) -> bytes:
     """A compressed value: raw size and method, then the stream."""
     (info,) = struct.unpack_from("<I", content)
@@ -364,8 +493,9 @@ def splice(old: bytes, prefix: int, suffix: int, middle: bytes) -> bytes:
     return old[:prefix] + middle + (old[len(old) - suffix :] if suffix else b"")
 
 
-def heap_changes(record: dict) -> Iterator[dict]:
+def heap_changes(record: dict, layout: Layout = PG17) -> Iterator[dict]:
     """Row changes of a heap record: op, node, tuple parts (infomask2, infomask, hoff, body) of the old and new row."""
+    shift = 8 if layout.gauss and record["info"] & 0x80 else 0  # a new page's base of transaction ids comes first
 
     def tuple_at(raw: bytes, at: int = 0) -> tuple:
         mask2, mask, hoff = struct.unpack_from("<HHB", raw, at)
@@ -375,7 +505,9 @@ def heap_changes(record: dict) -> Iterator[dict]:
     if record["rmid"] == RM_HEAP2:
         if record["info"] & 0x70 != 0x50:
             return
-        _, n = struct.unpack_from("<BxH", main)
+        packed, n = struct.unpack_from("<xBH", main, shift)
+        if layout.gauss and packed:
+            raise WalError("page dictionaries are not supported")
         data, at = blocks[0]["data"], 0
         for _ in range(n):
             at = _aligned(at, 2)
@@ -389,15 +521,15 @@ def heap_changes(record: dict) -> Iterator[dict]:
         if block["data"]:
             yield {"op": op, "node": block["node"], "new": tuple_at(block["data"])}
         elif block["image"]:
-            whole = page_tuple(page_image(block), struct.unpack_from("<H", main)[0])
+            whole = page_tuple(page_image(block), struct.unpack_from("<H", main, shift)[0])
             yield {"op": op, "node": block["node"], "new": (*struct.unpack_from("<HHB", whole, 18), whole[23:])}
     elif op == "delete":
-        flags = main[7]
-        yield {"op": op, "node": blocks[0]["node"], "old": tuple_at(main, 8) if flags & 6 else None}
+        flags = main[shift + 2 if layout.gauss else 7]
+        yield {"op": op, "node": blocks[0]["node"], "old": tuple_at(main, shift + layout.delete_main) if flags & 6 else None}
     elif op == "update":
-        flags, old, block = main[7], None, blocks[0]
+        flags, old, block = main[shift + 4 if layout.gauss else 7], None, blocks[0]
         if flags & 0x0C:
-            old = tuple_at(main, 14)
+            old = tuple_at(main, shift + layout.update_main)
         data, at, prefix, suffix = block["data"], 0, 0, 0
         if flags & 0x20:
             (prefix,), at = struct.unpack_from("<H", data, at), at + 2
@@ -411,7 +543,7 @@ def heap_changes(record: dict) -> Iterator[dict]:
             skip = new[2] - 23
             new = (*new[:3], new[3][:skip] + splice(old[3][old[2] - 23 :], prefix, suffix, new[3][skip:]))
         yield {"op": op, "node": block["node"], "old": old, "new": new}
-    elif op == "truncate":
+    elif op == "truncate" and not layout.gauss:
         _, n, flags = struct.unpack_from("<IIB", main)
         for oid in struct.unpack_from(f"<{n}I", main, 12):
             yield {"op": op, "node": oid, "cascade": bool(flags & 1), "restart": bool(flags & 2)}
@@ -421,6 +553,8 @@ def xact_event(record: dict, layout: Layout = PG17) -> dict:
     """op, time, sub-transactions, two-phase xid and gid of a transaction record."""
     op, main = XACT_OPS.get(record["info"] & 0x70), record["main"]
     out: dict = {"op": op, "subs": [], "gid": None, "two_phase_xid": None, "ts_us": None, "top_xid": None}
+    if layout.gauss:
+        return out | _gauss_xact_event(record)
     if op == "assignment":
         top, n = struct.unpack_from("<Ii", main)
         return out | {"top_xid": top, "subs": list(struct.unpack_from(f"<{n}I", main, 8))}
@@ -445,60 +579,205 @@ def xact_event(record: dict, layout: Layout = PG17) -> dict:
     return out
 
 
-ROWS_DDL = "lsn long, xid long, top_xid long, op string, node long, ord int, old array<string>, new array<string>, unchanged array<int>, subs array<long>, gid string, ts_us long"
+POINTER = "struct<place: int, raw_size: long, stored_size: long, value_id: long, relation: long>"
+def _gauss_xact_event(record: dict) -> dict:
+    """The same for records of the openGauss family: counts at fixed places, ids of 64 bits, the gid in the prepare only."""
+    code, main, info = record["info"] & 0x70, record["main"], record["info"]
+    op = GAUSS_XACT_OPS.get(code) or XACT_OPS.get(code)
+
+    def subs(at: int, n: int) -> list[int]:
+        if n < 0 or at + 8 * n > len(main):
+            raise WalError(f"{n} sub-transactions at {at} of {len(main)} bytes")
+        return list(struct.unpack_from(f"<{n}Q", main, at))
+
+    def members(base: int, counts: int, names: int) -> list[int]:
+        relations, n = struct.unpack_from("<ii", main, base + counts)
+        return subs(base + names + relations * (GAUSS_RELATION_PACKED if info & GAUSS_PACKED else GAUSS_RELATION), n)
+
+    try:
+        if op == "assignment":
+            top, n = struct.unpack_from("<Qi", main)
+            return {"op": op, "top_xid": top, "subs": subs(GAUSS_ASSIGNMENT, n)}
+        if op == "prepare":
+            magic, xid, at, n = (struct.unpack_from(f, main, k)[0] for f, k in (("<I", 0), ("<Q", 8), ("<q", 24), ("<i", 36)))
+            if magic not in GAUSS_PREPARE:
+                raise WalError(f"unknown prepare {magic:#x}")
+            gid, end, _ = main[GAUSS_GID : GAUSS_GID + GAUSS_GID_BYTES].partition(b"\0")
+            if not end:
+                raise WalError("gid without end")
+            return {"op": op, "two_phase_xid": xid, "ts_us": at + 946_684_800_000_000, "gid": gid.decode(), "subs": subs(GAUSS_PREPARE[magic], n)}
+        if op not in ("commit", "abort", "commit_prepared", "abort_prepared"):
+            return {"op": op}
+        base = 8 if op.endswith("prepared") else 0
+        out = {"op": op, "ts_us": struct.unpack_from("<q", main, base)[0] + 946_684_800_000_000}
+        if base:
+            out["two_phase_xid"] = struct.unpack_from("<Q", main)[0]
+        if code == 0x60:
+            return out | {"subs": subs(GAUSS_COMPACT, struct.unpack_from("<i", main, 16)[0])}
+        return out | {"subs": members(base, 24, GAUSS_COMMIT) if op.startswith("commit") else members(base, 8, GAUSS_ABORT)}
+    except struct.error as error:
+        raise WalError(f"transaction record {op} of {len(main)} bytes") from error
+
+
+ROWS_DDL = f"lsn long, xid long, top_xid long, op string, node long, ord int, old array<string>, new array<string>, unchanged array<int>, pointers array<{POINTER}>, cascade boolean, restart boolean, subs array<long>, gid string, ts_us long"
 
 
 def decode_rows(records: DataFrame, relations: dict[int, list[Attribute]], layout: Layout = PG17) -> DataFrame:
     """Row changes of known relations (by file node) and transaction events of (lsn, raw) records.
 
-    A value stored elsewhere is null here and its place is listed in unchanged; see operators.lookups.assemble_chunks.
+    A value stored elsewhere is null here, its place is listed in unchanged and where it is stored in pointers; see with_stored.
     """
     known = records.sparkSession.sparkContext.broadcast(relations)
-    fields = [("lsn", pa.int64()), ("xid", pa.int64()), ("top_xid", pa.int64()), ("op", pa.string()), ("node", pa.int64()), ("ord", pa.int32()), ("old", pa.list_(pa.string())), ("new", pa.list_(pa.string())), ("unchanged", pa.list_(pa.int32())), ("subs", pa.list_(pa.int64())), ("gid", pa.string()), ("ts_us", pa.int64())]
+    pointer = pa.struct([("place", pa.int32()), *((n, pa.int64()) for n in ("raw_size", "stored_size", "value_id", "relation"))])
+    fields = [("lsn", pa.int64()), ("xid", pa.int64()), ("top_xid", pa.int64()), ("op", pa.string()), ("node", pa.int64()), ("ord", pa.int32()), ("old", pa.list_(pa.string())), ("new", pa.list_(pa.string())), ("unchanged", pa.list_(pa.int32())), ("pointers", pa.list_(pointer)), ("cascade", pa.bool_()), ("restart", pa.bool_()), ("subs", pa.list_(pa.int64())), ("gid", pa.string()), ("ts_us", pa.int64())]
     schema = pa.schema(fields)
 
+    names = [f.name for f in schema]
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoders = {node: TupleDecoder(attributes) for node, attributes in known.value.items()}
         for b in batches:
-            out = []
+            columns: dict[str, list] = {n: [] for n in names}
+            lsns, xids, ops, nodes, ords, olds, news, lacks, points = (columns[n] for n in ("lsn", "xid", "op", "node", "ord", "old", "new", "unchanged", "pointers"))
+            rest = [columns[n] for n in names if n not in ("lsn", "xid", "op", "node", "ord", "old", "new", "unchanged", "pointers")]
+            more: list[tuple[int, dict]] = []  # (row, fields that few rows have)
+
+            def add(lsn: int, xid: int, op: str, node: int | None, k: int | None, old: list | None, new: list | None) -> None:
+                lsns.append(lsn)
+                xids.append(xid)
+                ops.append(op)
+                nodes.append(node)
+                ords.append(k)
+                olds.append(old)
+                news.append(new)
+                if new is None:
+                    lacks.append(None)
+                    points.append(None)
+                elif tuple in map(type, new):
+                    away = [n for n, v in enumerate(new) if type(v) is tuple]
+                    lacks.append(away)
+                    points.append([dict(zip(("place", "raw_size", "stored_size", "value_id", "relation"), (n, *new[n][1:]), strict=True)) for n in away])
+                    news[-1] = [None if type(v) is tuple else v for v in new]
+                else:
+                    lacks.append([])
+                    points.append([])
+
             for lsn, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rmid = raw[17]
+                rmid = raw[layout.info_at + 1]
                 if rmid not in (RM_XACT, RM_HEAP, RM_HEAP2):
                     continue
+                if rmid == RM_HEAP and (quick := _plain_insert(raw, layout)):
+                    xid, node, at = quick
+                    if node in decoders:
+                        add(lsn, xid, "insert", node, 0, None, decoders[node](raw, at))
+                    continue
                 record = parse_record(raw, layout)
-                head = {"lsn": lsn, "xid": record["xid"], "top_xid": record["top_xid"]}
                 if rmid == RM_XACT:
                     event = xact_event(record, layout)
                     xid = event.pop("two_phase_xid") or record["xid"]
-                    out.append(head | {k: v for k, v in event.items() if v is not None} | {"xid": xid})
+                    more.append((len(lsns), {k: v for k, v in event.items() if k != "op"}))
+                    add(lsn, xid, event["op"], None, None, None, None)
                     continue
-                for k, change in enumerate(heap_changes(record)):
-                    attributes = known.value.get(change["node"])
-                    if attributes is None and change["op"] != "truncate":
+                for k, change in enumerate(heap_changes(record, layout)):
+                    decoder = decoders.get(change["node"])
+                    if decoder is None and change["op"] != "truncate":
                         continue
-                    row = head | {"op": change["op"], "node": change["node"], "ord": k}
-                    for image in ("old", "new"):
-                        if change.get(image):
-                            values = decode_tuple(*change[image], attributes)
-                            row[image] = [None if isinstance(v, tuple) else v for v in values]
-                            if image == "new":
-                                row["unchanged"] = [n for n, v in enumerate(values) if isinstance(v, tuple)]
-                    out.append(row)
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    old, new = (decoder.parts(*change[x]) if change.get(x) else None for x in ("old", "new"))
+                    if change["op"] == "truncate" or record["top_xid"] is not None:
+                        more.append((len(lsns), {"cascade": change.get("cascade"), "restart": change.get("restart"), "top_xid": record["top_xid"]}))
+                    add(lsn, record["xid"], change["op"], change["node"], k, old and [None if type(v) is tuple else v for v in old], new)
+            for c in rest:
+                c.extend([None] * len(lsns))
+            for row, fields in more:
+                for name, value in fields.items():
+                    columns[name][row] = value
+            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
     return records.select("lsn", "raw").mapInArrow(decode, ROWS_DDL)
 
 
-def committed_rows(rows: DataFrame) -> DataFrame:
-    """Row changes of committed transactions with commit_lsn, ordered by it: a commit names its sub-transactions, an abort of a
-    sub-transaction removes its rows, a prepared transaction counts when its commit-prepared comes.
+def committed_rows(rows: DataFrame, stretch: int = 1 << 24) -> DataFrame:
+    """Row changes of committed transactions with commit_lsn, txn_xid and their ordinal in it, by position in the log.
 
-    An xid is used once in a log's span; the commit lists who belongs to it, so two joins are all there is.
+    A row belongs to the next end that names its xid: a commit or abort names its own and its sub-transactions', an abort of a
+    sub-transaction its own, a prepared transaction ends with its commit-prepared. An xid that comes again later is another
+    transaction. The next end is carried backwards over stretches of the log, ordinals forwards, so that no transaction,
+    however long, meets in one task.
     """
-    ends = rows.where(F.col("op").isin("commit", "commit_prepared"))
-    members = ends.select(F.col("lsn").alias("commit_lsn"), F.col("xid").alias("txn_xid"), "gid", "ts_us", F.explode(F.concat(F.array("xid"), F.coalesce("subs", F.expr("cast(array() as array<long>)")))).alias("xid"))
-    gone = rows.where(F.col("op").isin("abort", "abort_prepared")).select(F.explode(F.concat(F.array("xid"), F.coalesce("subs", F.expr("cast(array() as array<long>)")))).alias("xid")).distinct()
-    changes = rows.where(F.col("op").isin("insert", "update", "delete", "truncate", "skipped_update")).drop("gid", "ts_us", "subs")
-    return changes.join(gone, "xid", "left_anti").join(members, "xid")
+    none = F.expr("cast(array() as array<long>)")
+    ends = rows.where(F.col("op").isin("commit", "commit_prepared", "abort", "abort_prepared"))
+    # Where a decision doesn't name its gid, the prepare before it does.
+    named = as_of_join(ends, rows.where("op = 'prepare' and gid is not null"), "xid", "lsn", "gid", "_gid", stretch)
+    ends = named.withColumn("gid", F.coalesce("gid", F.when(F.col("op").endswith("prepared"), F.col("_gid"))))
+    end = F.struct(F.col("op").startswith("commit").alias("kept"), F.col("lsn").alias("commit_lsn"), F.col("xid").alias("txn_xid"), "gid", "ts_us")
+    members = ends.select(end.alias("_end"), (-F.col("lsn")).alias("_behind"), F.explode(F.array_distinct(F.concat(F.array("xid"), F.coalesce("subs", none)))).alias("xid"))
+    changes = rows.where(F.col("op").isin("insert", "update", "delete", "truncate", "skipped_update")).drop("gid", "ts_us", "subs").withColumn("_behind", -F.col("lsn"))
+    ended = as_of_join(changes, members, "xid", "_behind", "_end", "_end", stretch).where("_end.kept")
+    flat = ended.select(*(c for c in changes.columns if c != "_behind"), *(F.col(f"_end.{c}").alias(c) for c in ("commit_lsn", "txn_xid", "gid", "ts_us")))
+    # A record has fewer than 1024 changes: more tuples don't fit on a page.
+    placed = flat.withColumn("_place", F.col("lsn") * 1024 + F.col("ord"))
+    return running_sum(placed, F.lit(1), "n_in_txn", ["commit_lsn"], "_place", stretch << 10).drop("_place")
+
+
+#: How rows of the relations that hold out-of-line values are stored.
+CHUNK_ATTRIBUTES = [Attribute("chunk_id", 26, 4, 4), Attribute("chunk_seq", 23, 4, 4), Attribute("chunk_data", 17, -1, 4)]
+
+
+def stored_chunks(rows: DataFrame, nodes: list[int]) -> DataFrame:
+    """(relation, value_id, chunk_seq, data) of inserts into the relations that hold out-of-line values (decoded with
+    CHUNK_ATTRIBUTES), rolled-back ones included: a value that nothing refers to is never asked for."""
+    new = lambda k: F.col("new")[k]
+    own = rows.where((F.col("op") == "insert") & F.col("node").isin(*nodes))
+    return own.select(F.col("node").alias("relation"), new(0).cast("long").alias("value_id"), new(1).cast("int").alias("chunk_seq"), F.unhex(F.substr(new(2), F.lit(3))).alias("data"))
+
+
+def with_stored(rows: DataFrame, chunks: DataFrame, unavailable: str | None = None) -> DataFrame:
+    """rows with the values that the log stores elsewhere put in their place in new.
+
+    A pointer whose chunks the log holds gives its text (decompressed where the stored size is smaller than the raw one; a
+    size or method that differs from the pointer is an error of the value). Without chunks the value is unchanged: its place
+    stays in unchanged and shows unavailable. pointer_problems lists places whose chunks are there but broken.
+    """
+    keyed = rows.select("lsn", "ord", F.explode("pointers").alias("p")).select("lsn", "ord", F.col("p.place").alias("place"), F.col("p.raw_size").alias("raw_size"), F.col("p.stored_size").alias("size"), F.concat_ws(":", "p.relation", "p.value_id").alias("value_id"))
+    own = chunks.select(F.concat_ws(":", "relation", "value_id").alias("value_id"), "chunk_seq", "data")
+    asked = keyed.select("value_id", "size", "raw_size").dropDuplicates(["value_id"])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, problems = [], []
+            for value, raw_size, problem in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                text = None
+                if value is not None:
+                    try:
+                        if len(value) < raw_size:
+                            value = stored_value(value, raw_size)
+                        text = value.decode() if len(value) == raw_size else None
+                        problem = None if text is not None else "wrong size"
+                    except (WalError, ValueError, IndexError, struct.error) as error:
+                        problem = str(error) or "broken value"
+                texts.append(text)
+                problems.append(problem)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(problems, pa.string())], names=["value_id", "text", "problem"])
+
+    values = assemble_chunks(asked, own).select("value_id", "value", "raw_size", "problem").mapInArrow(unpack, "value_id string, text string, problem string")
+    found = keyed.join(values, "value_id").groupBy("lsn", "ord").agg(F.collect_list(F.struct("place", "text", "problem")).alias("_found"))
+    joined = rows.join(found, ["lsn", "ord"], "left")
+    at = lambda k: F.filter("_found", lambda x: x["place"] == k)[0]
+    held = lambda k: F.array_contains(F.coalesce("unchanged", F.expr("cast(array() as array<int>)")), k)
+    new = F.transform("new", lambda v, k: F.when(~held(k), v).otherwise(F.coalesce(at(k)["text"], F.lit(unavailable))))
+    still = F.filter("unchanged", lambda k: at(k)["text"].isNull())
+    problems = F.transform(F.filter("_found", lambda x: x["problem"].isNotNull() & (x["problem"] != "no chunk")), lambda x: F.concat_ws(": ", x["place"].cast("string"), x["problem"]))
+    return joined.withColumns({"new": new, "unchanged": still, "pointer_problems": problems}).drop("_found")
+
+
+def stored_value(data: bytes, raw_size: int) -> bytes:
+    """An out-of-line value that is stored compressed: raw size and method, which the pointer must agree with, then the stream."""
+    (info,) = struct.unpack_from("<I", data)
+    if info & 0x3FFFFFFF != raw_size:
+        raise WalError(f"value of {info & 0x3FFFFFFF} bytes where {raw_size} were announced")
+    if info >> 30 > 1:
+        raise WalError(f"unknown compression {info >> 30}")
+    return inflate(data)
 
 
 class SegmentBuilder:
@@ -518,21 +797,28 @@ class SegmentBuilder:
         self.out += struct.pack("<HHIQI4x", self.layout.magic, info, 1, here, rest) + (struct.pack("<QII", 1, self.size, self.layout.page) if long else b"")
 
     def add(self, rmid: int, info: int, xid: int, main: bytes, blocks: list[tuple[int, bytes]] = (), top_xid: int | None = None) -> int:
-        """blocks: (file node, data). Returns the record's position."""
+        """blocks: (file node, data) or (file node, data, page). Returns the record's position."""
         head, body = b"", b""
-        for k, (node, data) in enumerate(blocks):
-            head += struct.pack("<BBHIIII", k, 0x20 if data else 0, len(data), 1663, 5, node, 0)
+        for k, (node, data, *image) in enumerate(blocks):
+            head += struct.pack("<BBH", k, (0x20 if data else 0) | (0x10 if image else 0), len(data))
+            gauss = self.layout.gauss
+            if image:
+                hole = struct.unpack_from("<HH", image[0], 12)  # lower, upper
+                head += struct.pack("<HH", hole[0], hole[1] - hole[0]) if gauss else struct.pack("<HHB", len(image[0]) - (hole[1] - hole[0]), hole[0], 1)
+                body += image[0][: hole[0]] + image[0][hole[1] :]
+            head += struct.pack("<IIIhIQ", 1663, 5, node, -1, 0, 0) if gauss else struct.pack("<IIII", 1663, 5, node, 0)
             body += data
         if top_xid is not None:
             head += struct.pack("<BI", 252, top_xid)
         head += struct.pack("<BB", 255, len(main)) if len(main) < 256 else struct.pack("<BI", 254, len(main))
-        total = 24 + len(head) + len(body) + len(main)
+        total = self.layout.record_header + len(head) + len(body) + len(main)
         while len(self.out) % 8:
             self.out += b"\0"
         if self._position() % self.layout.page == 0:
             self._page(0)
         lsn = self._position()
-        raw = struct.pack("<IIQBBxxI", total, xid, self.previous, info, rmid, 0) + head + body + main
+        start = struct.pack("<I4xQQBBxxI" if self.layout.gauss else "<IIQBBxxI", total, xid, self.previous, info, rmid, 0)
+        raw = start + head + body + main
         self.previous = lsn
         while raw:
             room = self.layout.page - self._position() % self.layout.page
@@ -548,7 +834,7 @@ class SegmentBuilder:
 
 
 def build_tuple(values: list[str | None], attributes: list[Attribute]) -> bytes:
-    """xl_heap_header and body of a row, for examples: text, int and float types."""
+    """xl_heap_header and body of a row, for examples: text, int and float types; bytes are a stored value, header and all."""
     nulls = any(v is None for v in values)
     bits = sum(1 << k for k, v in enumerate(values) if v is not None).to_bytes((len(values) + 7) // 8, "little") if nulls else b""
     hoff = _aligned(23 + len(bits))
@@ -556,7 +842,10 @@ def build_tuple(values: list[str | None], attributes: list[Attribute]) -> bytes:
     for v, a in zip(values, attributes, strict=True):
         if v is None:
             continue
-        if a.length < 0:
+        if isinstance(v, bytes):
+            body += b"" if v[0] & 1 else bytes(_aligned(len(body) + 23, a.align) - 23 - len(body))
+            body += v
+        elif a.length < 0:
             raw = v.encode()
             if len(raw) < 126:
                 body += bytes([len(raw) + 1 << 1 | 1]) + raw
@@ -564,11 +853,44 @@ def build_tuple(values: list[str | None], attributes: list[Attribute]) -> bytes:
                 body += bytes(_aligned(len(body) + 23, a.align) - 23 - len(body)) + struct.pack("<I", len(raw) + 4 << 2) + raw
         else:
             body += bytes(_aligned(len(body) + 23, a.align) - 23 - len(body))
-            form = {21: "<h", 23: "<i", 20: "<q", 701: "<d", 700: "<f", 1114: "<q", 1082: "<i"}.get(a.type_oid)
+            form = {21: "<h", 23: "<i", 20: "<q", 26: "<I", 701: "<d", 700: "<f", 1114: "<q", 1082: "<i"}.get(a.type_oid)
             body += struct.pack(form, float(v) if a.type_oid in (700, 701) else int(v)) if form else (b"\1" if v == "t" else b"\0")
     return struct.pack("<HHB", len(values), 1 if nulls else 0, hoff) + bytes(body)
 
 
+def build_page(items: list[bytes], page: int = 8192) -> bytes:
+    """A heap page with tuples (header included) at line pointers 1, 2, ..., for examples."""
+    out, upper = bytearray(page), page
+    for k, item in enumerate(items):
+        upper = (upper - len(item)) & ~7
+        out[upper : upper + len(item)] = item
+        struct.pack_into("<I", out, 24 + 4 * k, upper | 1 << 15 | len(item) << 17)
+    struct.pack_into("<HHHH", out, 10, 0, 24 + 4 * len(items), upper, page)
+    return bytes(out)
+
+
+def pack_pglz(raw: bytes, period: int) -> bytes:
+    """A compressed stream of a text that repeats its first period bytes, for examples."""
+    items: list[bytes | tuple[int, int]] = [raw[k : k + 1] for k in range(period)]
+    left = len(raw) - period
+    while left >= 3:
+        items.append((period, min(left, 273)))
+        left -= items[-1][1]
+    items += [raw[len(raw) - left + k : len(raw) - left + k + 1] for k in range(left)]
+    out = b""
+    for k in range(0, len(items), 8):
+        control, body = 0, b""
+        for n, x in enumerate(items[k : k + 8]):
+            if isinstance(x, tuple):
+                back, size = x
+                control |= 1 << n
+                body += bytes([back >> 4 & 0xF0 | min(size - 3, 15), back & 255]) + (bytes([size - 18]) if size >= 18 else b"")
+            else:
+                body += x
+        out += bytes([control]) + body
+    return out
+
+
 def segment_files(files: DataFrame, segment_bytes: int = 16 << 20) -> DataFrame:
     """(timeline, segment_no, content) of binaryFile rows named as the server names segments; a finished segment wins over a
     partial one."""
