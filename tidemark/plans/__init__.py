@@ -1,6 +1,6 @@
 """The registered queries over the driver's tables."""
 
-from . import metrics, roundtrips, transactions, values  # noqa: F401
+from . import bus, log, metrics, protocol, roundtrips, transactions, values  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

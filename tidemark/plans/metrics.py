@@ -40,14 +40,15 @@ def peak_second(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select event_type, round(quantile_cont(value, 0.9), 6) as p90, round(quantile_cont(value, 0.95), 6) as p95, max(value) as max from events group by 1")
 def value_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact percentiles and the maximum."""
-    d = metrics.distribution(read(spark, sf_dir, "events"), "value", ["event_type"])
+    d = metrics.distribution(read(spark, sf_dir, "events"), "value", ["event_type"], exact=True)
     return d.select("event_type", F.round("p90", 6).alias("p90"), F.round("p95", 6).alias("p95"), "max")
 
 
-@query()
+@query("""with q as (select event_type, quantile_disc(value, 0.9) as p90, quantile_disc(value, 0.95) as p95, max(value) as max from events group by 1),
+ s as (select *, pow(10, floor(log10(abs(p90))) - 1) as a, pow(10, floor(log10(abs(p95))) - 1) as b, pow(10, floor(log10(abs(max))) - 1) as c from q) select event_type, round(p90 / a) * a as p90, round(p95 / b) * b as p95, round(max / c) * c as max from s""")
 def value_distribution_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Approximate percentiles with two significant digits, for any volume."""
-    d = metrics.distribution(read(spark, sf_dir, "events"), "value", ["event_type"], exact=False)
+    d = metrics.distribution(read(spark, sf_dir, "events"), "value", ["event_type"])
     return d.select("event_type", *(metrics.two_digits(F.col(c)).alias(c) for c in ("p90", "p95", "max")))
 
 
@@ -85,7 +86,9 @@ def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.stream_health(pages)
 
 
-@query()
+@query("""with t as (select list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as crcs),
+ f as (select event_id // 500 as file, count(*) as n, string_agg(event_type || ',' || user_id, '' order by event_id) as body from events group by 1)
+ select file, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(body, ''), lambda x: cast(ord(x) as bigint))), lambda c, x: xor(c >> 8, crcs[(xor(c, x) & 255) + 1]))) as crc32 from f, t""")
 def file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record count and CRC32 of each file's records in order."""
     rows = read(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 500).alias("file"), "event_id", F.encode(F.concat_ws(",", "event_type", "user_id"), "UTF-8").alias("content"))

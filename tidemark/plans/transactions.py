@@ -113,27 +113,31 @@ def txn_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.select(F.split_part("txn_key", F.lit(":"), F.lit(2)).cast("long").alias("stream_id"), F.floor(F.col("end_seq") / 3).alias("commit_seq"), F.array_join(F.transform("changes", lambda c: c["kind"]), "").alias("ops"), F.size("changes").cast("long").alias("n"))
 
 
-@query("select cast(1 as bigint) as n_seq, 'x' as kind, 'y' as problem where false")
+@query("""with m as (select event_id, event_type, lag(event_id) over (order by event_id) as p from events where event_type in ('view', 'click', 'purchase'))
+ select 3 * event_id as n_seq, 'S' as kind, 'block inside a block' as problem from m where (3 * p + 2) % 97 = 0
+ union all select 3 * event_id + 1, case event_type when 'view' then 'I' when 'click' then 'U' else 'D' end, 'unit without a transaction id in a block' from m where (3 * event_id + 1) % 89 = 0
+ union all select 3 * max(event_id) + 10, 'c', 'end of an unknown transaction' from events union all select 3 * max(event_id) + 11, 'K', 'gid is not prepared' from events union all select 3 * max(event_id) + 12, 'C', 'commit without begin' from events""")
 def txn_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A legal stream has no violations."""
-    return assembly.violations(_streamed(spark, sf_dir)).select(F.col("seq").alias("n_seq"), "kind", "problem")
-
-
-@query("""with m as (select event_id, event_type, lag(event_type) over (order by event_id) as p from events where event_type in ('view','click'))
- select event_id, case when event_type='view' then 'begin inside a transaction' else 'commit without begin' end as problem from m where event_type = p or (event_type='click' and p is null)""")
-def txn_illegal_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Views as begins and clicks as commits of one slot: what breaks the alternation (A2)."""
-    rows = read(spark, sf_dir, "events").where(F.col("event_type").isin("view", "click"))
-    none = {"xid": "bigint", "subxid": "bigint", "gid": "string", "commit_lsn": "bigint", "end_lsn": "bigint", "commit_ts": "timestamp_ntz"}
-    messages = rows.select(F.lit(0).alias("slot"), F.col("event_id").alias("seq"), F.when(F.col("event_type") == "view", "B").otherwise("C").alias("kind"), F.lit(False).alias("first_segment"), *(F.lit(None).cast(t).alias(c) for c, t in none.items()))
-    return assembly.violations(messages).select(F.col("seq").alias("event_id"), "problem")
+    """Lost stops of blocks, units without a transaction id and ends of what never began are found, and nothing else (A2, A3, A7,
+    A12)."""
+    events = read(spark, sf_dir, "events")
+    messages = _streamed(spark, sf_dir)
+    lost_stop = (F.col("kind") == "E") & (F.col("seq") % 97 == 0)
+    nameless = F.col("kind").isin("I", "U", "D") & (F.col("seq") % 89 == 0)
+    spoiled = messages.where(~lost_stop).withColumn("subxid", F.when(~nameless, F.col("subxid")))
+    stray = events.agg((F.max("event_id") * 3 + 10).alias("at")).select("at", F.posexplode(F.array(F.lit("c"), F.lit("K"), F.lit("C"))).alias("k", "letter"))
+    ends = stray.select(F.lit(0).alias("slot"), (F.col("at") + F.col("k")).alias("seq"), F.col("letter").alias("kind"), F.lit(-1).cast("long").alias("xid"), F.lit("none").alias("gid"), F.lit(False).alias("first_segment"))
+    return assembly.violations(spoiled.unionByName(ends, allowMissingColumns=True)).select(F.col("seq").alias("n_seq"), "kind", "problem")
 
 
-@query("select cast(1 as bigint) as expected_changes, cast(1 as bigint) as emitted_changes, cast(1 as bigint) as delivered where false")
+@query(SEGMENTS + """, n as (select c.sid, c.commit_seq, count(*) as expected_changes, cast(sum(1-aborted) as bigint) as emitted_changes, cast(sum(case when aborted=0 and k.seq % 11 <> 0 then 1 else 0 end) as bigint) as delivered
+  from c join k on c.sid=k.sid and c.seg=k.seg group by 1, 2) select sid as stream_id, commit_seq, expected_changes, emitted_changes, delivered from n where emitted_changes <> delivered""")
 def txn_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Announced against delivered changes."""
+    """Transactions of which every eleventh change got lost on delivery."""
     messages = _streamed(spark, sf_dir)
-    return assembly.reconciliation(assembly.transactions(messages), assembly.changes(messages)).drop("txn_key")
+    delivered = assembly.changes(messages).where(F.floor(F.col("seq") / 3) % 11 != 0)
+    short = assembly.reconciliation(assembly.transactions(messages), delivered)
+    return short.select(F.split_part("txn_key", F.lit(":"), F.lit(2)).cast("long").alias("stream_id"), F.floor(F.col("end_seq") / 3).alias("commit_seq"), "expected_changes", "emitted_changes", "delivered")
 
 
 @query(SEGMENTS + "select cast(0 as int) as slot, least(max(seq) + 1, (select max(commit_seq) + 1 from c)) as confirm_lsn from m where event_type = 'signup'")
@@ -228,7 +232,7 @@ def partition_double_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, nation, classes = _partitions(spark, sf_dir)
     listed = read(spark, sf_dir, "region").where("r_regionkey = 1").select(F.concat(F.lit("geo."), "r_name").alias("t")).union(read(spark, sf_dir, "nation").where("n_nationkey = 3").select(F.concat(F.lit("geo."), "n_name")))
     named = filters.with_partition_parent(rows, nation, classes)
-    return filters.partition_filter(named, [r["t"] for r in listed.collect()]).select("c_custkey", "part_name", "parent_tbl")
+    return filters.partition_semi_filter(named, listed, "t").select("c_custkey", "part_name", "parent_tbl")
 
 
 @query("select c_custkey from customer left join nation on c_nationkey=n_nationkey where n_regionkey is null or n_regionkey = 4")
@@ -297,13 +301,25 @@ def type_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.base_types(types)
 
 
-@query("""with t as (select o_orderkey, sum(l_quantity) as q from orders join lineitem on o_orderkey = l_orderkey group by 1), n as (select o_orderkey, cast(q as bigint) as q from t),
- r as (select *, coalesce(sum(q) over (order by o_orderkey rows between unbounded preceding and 1 preceding), 0) as b from n) select o_orderkey, q as records, cast(b // 1000 + 1 as bigint) as file_number from r""")
+@query("""with recursive t as (select o_orderkey, cast(sum(l_quantity) as bigint) as q from orders join lineitem on o_orderkey = l_orderkey group by 1),
+ p as (select *, cast(sum(q) over (order by o_orderkey) as bigint) as upto from t),
+ f as (select cast(1 as bigint) as n, min(upto) as total from p where upto >= 1000 union all select n + 1, (select min(upto) from p where upto >= f.total + 1000) from f where total is not null)
+ select o_orderkey, q as records, cast(1 + (select count(*) from f where f.total < p.upto) as bigint) as file_number from p""")
 def file_roll_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file of each transaction; files end at transaction ends only (K3)."""
     sums = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_quantity").cast("long").alias("records"))
     rows = read(spark, sf_dir, "orders").select("o_orderkey").join(sums, "o_orderkey").withColumn("task", F.lit(0))
-    return rolling.roll(rows, "records", "o_orderkey", 1000, ["task"]).drop("task")
+    return rolling.roll(rows, "records", "o_orderkey", 1000, ["task"], chunk=1 << 12).drop("task")
+
+
+@query("""with recursive p as (select event_id, event_id % 5 + 1 as q, row_number() over (order by event_id) as rn, max(ts) over (order by event_id) as clock, cast(sum(event_id % 5 + 1) over (order by event_id) as bigint) as upto from events),
+ e as (select cast(1 as bigint) as n, (select min(rn) from p where upto >= 200 or clock >= (select min(clock) from p) + interval 30 minute) as rn union all
+  select e.n + 1, (select min(p.rn) from p, p as l where l.rn = e.rn and (p.upto >= l.upto + 200 or p.clock >= l.clock + interval 30 minute) and p.rn > l.rn) from e where e.rn is not null)
+ select event_id, cast(q as bigint) as records, cast(1 + (select count(*) from e where e.rn < p.rn) as bigint) as file_number from p""")
+def file_roll_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with an age limit: a file ends by records or by time, whichever comes first (K3)."""
+    rows = read(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 5 + 1).alias("records"), "ts", F.lit(0).alias("task"))
+    return rolling.roll(rows, "records", "event_id", 200, ["task"], "ts", 1800, chunk=1 << 10).drop("task", "ts")
 
 
 @query("select o_orderkey, 'orders-' || lpad(cast(o_orderkey as varchar), 16, '0') || '-' || strftime(o_orderdate, '%Y%m%d%H%M%S') || '.bin' as name from orders")

@@ -61,7 +61,8 @@ def txid_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", binary.txid_number(text).alias("txid"))
 
 
-@query()
+@query("""with h as (select c_custkey, list_reduce(list_prepend(cast(0 as bigint), list_transform(string_split(c_name, ''), lambda x: cast(ord(x) as bigint))), lambda h, x: (h * 31 + x) % 4294967296) as h from customer)
+ select c_custkey, cast(case when h >= 2147483648 then h - 4294967296 else h end as int) as hash from h""")
 def txid_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fallback hash of other ids."""
     return read(spark, sf_dir, "customer").select("c_custkey", binary.java_hash(F.col("c_name")).alias("hash"))
@@ -190,6 +191,32 @@ def typed_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", typed.decimal_mode((k / 4).cast("string"), "double").alias("d"), typed.money(text).cast("double").alias("m"), typed.default_value(expression).alias("def"), typed.bits(F.conv(F.col("p_size").cast("string"), 10, 2)).alias("b"))
 
 
+@query("""select p_partkey, case when p_partkey % 2 = 0 then '-' else '' end || (p_partkey + 1) || repeat('0', 40) || '1234567' as unscaled, 7 as scale, cast(1 + p_partkey % 100 as bigint) as n_bits, cast(p_partkey % 256 as int) as low_byte,
+ 'a' || p_size || '|b.c|-|d"e,f' as paths, case p_partkey % 7 when 0 then '0,0;' || p_size || ',2' when 1 then '1,2;r3' when 2 then 'a1,b-2,c' || p_size when 3 then '1,2;3,4' when 4 then 'open 1,2;3,4;5,' || p_size when 5 then '1,2' else 'closed 0,0;1,0;1,1' end as shape from part""")
+def unbounded_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals and bit strings of any length, label trees, geometric shapes."""
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    big = typed.variable_decimal(F.concat(F.when(k % 2 == 0, "-").otherwise(""), (k + 1).cast("string"), F.lit("0" * 40 + ".1234567")))
+    ones = F.concat(F.repeat(F.lit("0"), F.lit(92)), F.lpad(F.conv((k % 256).cast("string"), 10, 2), 8, "0"))
+    raw = typed.bit_bytes(F.concat(F.repeat(F.lit("1"), (k % 100).cast("int")), F.lit("0")))
+    low = F.conv(F.hex(F.substring(typed.bit_bytes(ones), 1, 1)), 16, 10).cast("int")
+    paths = typed.text_array(F.concat(F.lit("{a"), size, F.lit(',b.c,NULL,"d\\"e,f"}')))
+    texts = [F.concat(F.lit("("), size, F.lit(",2),(0,0)")), F.lit("<(1,2),3>"), F.concat(F.lit("{1,-2,"), size, F.lit("}")), F.lit("[(1,2),(3,4)]"), F.concat(F.lit("[(1,2),(3,4),(5,"), size, F.lit(")]")), F.lit("(1,2)"), F.lit("((0,0),(1,0),(1,1))")]
+    kinds = ["box", "circle", "line", "lseg", "path", "point", "polygon"]
+    point = lambda p: F.concat(p["x"].cast("long").cast("string"), F.lit(","), p["y"].cast("long").cast("string"))
+    shape = F.lit(None).cast("string")
+    for n, (text, kind) in enumerate(zip(texts, kinds, strict=True)):
+        s = typed.geometric(text, kind)
+        points = F.array_join(F.transform(F.sort_array(s["points"]) if kind == "box" else s["points"], point), ";")
+        whole = lambda c, s=s: s[c].cast("long").cast("string")
+        shown = {"circle": F.concat(points, F.lit(";r"), whole("radius")), "line": F.concat(F.lit("a"), whole("a"), F.lit(",b"), whole("b"), F.lit(",c"), whole("c"))}
+        closed = F.when(s["closed"], "closed ").otherwise("open ") if kind in ("path", "polygon") else F.lit("")
+        shape = F.when(k % 7 == n, shown.get(kind, F.concat(closed, points))).otherwise(shape)
+    return read(spark, sf_dir, "part").select(
+        "p_partkey", big["unscaled"].alias("unscaled"), big["scale"].alias("scale"), (F.length(raw) * 8 - F.pmod(-((k % 100) + 1), F.lit(8))).cast("long").alias("n_bits"), low.alias("low_byte"), F.array_join(F.transform(paths, lambda x: F.coalesce(x, F.lit("-"))), "|").alias("paths"), shape.alias("shape")
+    )
+
+
 @query("select p_partkey, cast(p_size as double) as x, -cast(p_partkey as double) as y, cast(p_size as varchar) as a, p_name as b, cast(4326 as int) as srid from part")
 def structured_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points, hstore and EWKB."""
@@ -215,12 +242,14 @@ def column_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", F.array_join(F.map_keys(filters.columns_kept(row, exclude=["secret_.*"])), ",").alias("only_key"))
 
 
-@query("select event_id, event_type from events where event_type in ('signup', 'error') and event_id > 100 and event_id < 5000 and value <> user_id")
+@query("select event_id, event_type from events where event_type in ('signup', 'error') and event_id > (select max(event_id) // 20 from events) and event_id < (select max(event_id) - max(event_id) // 20 from events) and value <> user_id")
 def stream_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lifecycle kinds, applied records, LSN bound, empty updates."""
     kind = F.when(F.col("event_type") == "signup", "C").when(F.col("event_type") == "error", "A").otherwise("I")
-    ok = filters.lifecycle(kind) & filters.not_yet_applied(F.col("event_id"), F.lit(100)) & filters.before_lsn(F.col("event_id"), 5000) & filters.changed(F.col("value"), F.col("user_id").cast("double"))
-    return read(spark, sf_dir, "events").where(ok).select("event_id", "event_type")
+    events = read(spark, sf_dir, "events")
+    reached = events.agg(F.max("event_id").alias("top")).select(F.floor(F.col("top") / 20).alias("applied"), (F.col("top") - F.floor(F.col("top") / 20)).alias("stop"))
+    ok = filters.lifecycle(kind) & filters.not_yet_applied(F.col("event_id"), F.col("applied")) & filters.before_lsn(F.col("event_id"), F.col("stop")) & filters.changed(F.col("value"), F.col("user_id").cast("double"))
+    return events.join(F.broadcast(reached)).where(ok).select("event_id", "event_type")
 
 
 @query("select n_nationkey, case when n_regionkey = 0 then 'column store' when n_regionkey = 1 then 'in-place update store' when n_regionkey = 2 then 'delta table' when n_regionkey = 3 then 'partition type' end as problem from nation")
@@ -282,7 +311,7 @@ def array_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select event_id, case event_id % 4 when 0 then timestamp '2024-01-02 03:04:05.5' when 1 then timestamp '2024-01-02 01:04:05' end as at, case when user_id % 2 = 0 then 'id=' || user_id else 'id=null' end as shown from events")
 def row_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows as maps by column name, dropped columns gone; times in several text forms."""
+    """Rows as maps by column name, dropped columns gone; times in several text forms."""
     events = read(spark, sf_dir, "events")
     k = F.col("event_id") % 4
     text = F.when(k == 0, "2024-01-02 03:04:05.5").when(k == 1, "2024-01-02 03:04:05+02:00").when(k == 2, "0044-03-15 00:00:00 BC").otherwise("infinity")
@@ -291,3 +320,21 @@ def row_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = render.row_map(F.array(F.lit("id"), F.lit(None).cast("string")), values)
     shown = F.array_join(F.transform(F.map_entries(row), lambda e: F.concat(e["key"], F.lit("="), render.shown_value(e["value"]["state"], e["value"]["text"]))), ",")
     return events.select("event_id", typed.timestamp_text(text).cast("timestamp_ntz").alias("at"), shown.alias("shown"))
+
+
+@query("""with t as (select event_id, event_id % 6 as k, event_id % 1000 as f, user_id % 28 + 1 as d from events) select event_id, cast(case k when 0 then epoch_us(timestamp '2024-01-02 03:04:05') + f * 1000 when 1 then epoch_us(timestamp '2024-01-02 01:04:05.25') when 2 then 9223372036854775807 when 3 then -9223372036854775807 - 1
+ when 4 then epoch_us(cast('0044-03-' || lpad(cast(d as varchar), 2, '0') || ' (BC) 10:00:00' as timestamp)) else epoch_us(timestamp '20001-02-03 00:00:00') end as bigint) as us, case when k = 4 then cast(date_diff('day', date '1970-01-01', cast('0044-03-' || lpad(cast(d as varchar), 2, '0') || ' (BC)' as date)) as bigint) end as days from t""")
+def far_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times with zones, fractions of any length, years before Christ and beyond 9999, and the two infinities."""
+    k, f, d = F.col("event_id") % 6, F.lpad((F.col("event_id") % 1000).cast("string"), 3, "0"), F.lpad((F.col("user_id") % 28 + 1).cast("string"), 2, "0")
+    text = F.when(k == 0, F.concat(F.lit("2024-01-02 03:04:05."), f)).when(k == 1, "2024-01-02 03:34:05.25+02:30").when(k == 2, "infinity").when(k == 3, "-infinity").when(k == 4, F.concat(F.lit("0044-03-"), d, F.lit(" 10:00:00 BC"))).otherwise("20001-02-03 00:00:00")
+    return read(spark, sf_dir, "events").select("event_id", typed.timestamp_micros(text).alias("us"), F.when(k == 4, typed.date_days(F.concat(F.lit("0044-03-"), d, F.lit(" BC")))).alias("days"))
+
+
+@query("select event_id, cast(((event_id % 24) * 3600 + user_id % 3600) * 1000000 as bigint) as us, cast(((((event_id % 24) * 3600 + user_id % 3600 - 9000) % 86400 + 86400) % 86400) * 1000000 as bigint) as utc from events")
+def clock_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of day, and those with a zone moved to UTC."""
+    rest = F.col("user_id") % 3600
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    text = F.concat_ws(":", two(F.col("event_id") % 24), two(F.floor(rest / 60)), two(rest % 60))
+    return read(spark, sf_dir, "events").select("event_id", typed.time_micros(text).alias("us"), typed.timetz_micros(F.concat(text, F.lit("+02:30"))).alias("utc"))
