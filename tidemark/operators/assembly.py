@@ -37,13 +37,14 @@ def openings(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return streamed.withColumn("txn_key", _key("S", F.col("xid"), F.col("opened")))
 
 
-def route(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def route(messages: DataFrame, chunk: int = CHUNK, named: DataFrame | None = None) -> DataFrame:
     """Units with their transaction: the open streamed block first, then the open prepare, then the open normal transaction.
+    named: openings(messages), if they are at hand; here and below.
 
     Adds txn_key, stream_xid (the xid a streamed unit names: its sub-transaction) and mode. Messages that are not
     transactional and lie outside of everything have no key.
     """
-    opened = openings(messages, chunk).where(_kind("S")).select("slot", "seq", "txn_key")
+    opened = (openings(messages, chunk) if named is None else named).where(_kind("S")).select("slot", "seq", "txn_key")
     marks = messages.join(opened, ["slot", "seq"], "left")
     shown = {
         "_block": F.when(_kind("S"), F.col("txn_key")).when(_kind("E"), F.lit("")),
@@ -57,13 +58,13 @@ def route(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return units.withColumn("in_stream", open_block.isNotNull()).drop("_block", "_prepare", "_normal")
 
 
-def endings(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def endings(messages: DataFrame, chunk: int = CHUNK, named: DataFrame | None = None) -> DataFrame:
     """(slot, txn_key, outcome, mode, gid, end_seq, commit_lsn, end_lsn, commit_ts): how each finished transaction ended."""
     control = messages.where(_kind("B", "C", "b", "P"))
     normal = carry_last(control.where(_kind("B", "C")), F.when(_kind("B"), _key("N", F.coalesce("xid", F.lit(0)), F.col("seq"))), "txn_key", ["slot"], "seq", chunk)
     normal = normal.where(_kind("C")).withColumn("outcome", F.lit("commit")).withColumn("mode", F.lit("NORMAL"))
     prepared = carry_last(control.where(_kind("b", "P")), F.when(_kind("b"), _key("P", F.col("gid"), F.col("seq"))), "txn_key", ["slot"], "seq", chunk).where(_kind("P"))
-    named = openings(messages, chunk)
+    named = openings(messages, chunk) if named is None else named
     streamed = named.where(_kind("c") | _kind("A") & (F.col("subxid") == F.col("xid")))
     streamed = streamed.withColumn("outcome", F.when(_kind("c"), "commit").otherwise("abort")).withColumn("mode", F.lit("STREAMED"))
     # A gid names the transaction prepared last under it.
@@ -76,9 +77,9 @@ def endings(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return normal.select(*columns).unionByName(streamed.select(*columns)).unionByName(decided.select(*columns)).where("txn_key is not null")
 
 
-def aborted_parts(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def aborted_parts(messages: DataFrame, chunk: int = CHUNK, named: DataFrame | None = None) -> DataFrame:
     """(txn_key, stream_xid) of rolled-back sub-transactions."""
-    parts = openings(messages, chunk).where(_kind("A") & (F.col("subxid") != F.col("xid")))
+    parts = (openings(messages, chunk) if named is None else named).where(_kind("A") & (F.col("subxid") != F.col("xid")))
     return parts.select("txn_key", F.col("subxid").alias("stream_xid")).distinct()
 
 

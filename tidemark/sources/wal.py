@@ -111,7 +111,8 @@ def walk(segment: bytes, start: int, layout: Layout = PG17) -> Iterator[tuple[st
     def records(final: bool) -> Iterator[tuple[str, int, bytes]]:
         at, whole, size, header = 0, bytes(data), len(data), layout.record_header
         if head_left:
-            yield "head", marks[0][1], whole[: min(head_left, size)]
+            # Behind a damaged page it is the rest of a record whose beginning is lost.
+            yield "head" if marks[0][1] - start <= 40 else "lost", marks[0][1], whole[: min(head_left, size)]
             at = after(head_left) if head_left < size else size
         k, last = bisect_right(marks, at, key=_offset) - 1, len(marks) - 1
         while at + 4 <= size:

@@ -47,18 +47,19 @@ class LandedAssembly:
         before = spark.read.schema(CONTROL).parquet(f"{self.path}/open/batch={number - 1}") if number else spark.createDataFrame([], CONTROL)
         whole = self._write(before.unionByName(new, allowMissingColumns=True).withColumn("commit_ts", F.lit(None).cast("timestamp")), "work", number)
 
-        units = assembly.route(whole, self.chunk).where((F.col("batch") == number) & F.col("txn_key").isNotNull())
+        named = self._write(assembly.openings(whole, self.chunk), "named", number)
+        units = assembly.route(whole, self.chunk, named).where((F.col("batch") == number) & F.col("txn_key").isNotNull())
         units = units.select("slot", "seq", "kind", "txn_key", F.when(F.col("in_stream"), F.col("subxid")).alias("stream_xid"))
         self._write(units, "units", number)
-        ends = self._write(assembly.endings(whole, self.chunk).select("slot", "txn_key", "outcome", "mode", "gid", "commit_lsn", "end_lsn", "end_seq"), "ends", number)
-        gone = assembly.aborted_parts(whole, self.chunk)
-        marks = self._marks(whole)
+        ends = self._write(assembly.endings(whole, self.chunk, named).select("slot", "txn_key", "outcome", "mode", "gid", "commit_lsn", "end_lsn", "end_seq"), "ends", number)
+        gone = assembly.aborted_parts(whole, self.chunk, named)
+        marks = self._marks(whole, named)
         self._write(self._put_out(spark, ends, gone, marks, number), "out", number)
         self._write(self._still_open(whole, marks, ends), "open", number)
 
-    def _marks(self, whole: DataFrame) -> DataFrame:
+    def _marks(self, whole: DataFrame, named: DataFrame) -> DataFrame:
         """Control messages of transactions with their key: openings, roll-backs of parts, prepares."""
-        own = assembly.openings(whole, self.chunk).where((F.col("kind") == "S") & F.col("first_segment") | (F.col("kind") == "A") & (F.col("subxid") != F.col("xid")) | (F.col("kind") == "p")).drop("opened")
+        own = named.where((F.col("kind") == "S") & F.col("first_segment") | (F.col("kind") == "A") & (F.col("subxid") != F.col("xid")) | (F.col("kind") == "p")).drop("opened")
         key = lambda letter, name: F.concat_ws(":", F.lit(letter), F.coalesce(F.col(name).cast("string"), F.lit("0")), F.col("seq").cast("string"))
         normal = whole.where("kind = 'B'").withColumn("txn_key", key("N", "xid"))
         prepared = carry_last(whole.where("kind in ('b', 'P')"), F.when(F.col("kind") == "b", key("P", "gid")), "txn_key", ["slot"], "seq", self.chunk)
@@ -80,6 +81,6 @@ class LandedAssembly:
     def _still_open(self, whole: DataFrame, marks: DataFrame, ends: DataFrame) -> DataFrame:
         names = [x.split()[0] for x in CONTROL.split(", ")]
         live = marks.join(ends.select("txn_key"), "txn_key", "left_anti").select(*names)
-        # The block that stands open need not be its transaction's first.
-        last = whole.where("kind in ('S', 'E')").groupBy("slot").agg(F.max_by(F.struct(*names), "seq").alias("m")).select("m.*").where("kind = 'S' and not first_segment")
+        # The last block marker says whether a block stands open, which need not be its transaction's first.
+        last = whole.where("kind in ('S', 'E')").groupBy("slot").agg(F.max_by(F.struct(*names), "seq").alias("m")).select("m.*").where("kind = 'E' or not first_segment")
         return live.unionByName(last)
