@@ -19,12 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or (only where that is unset, as in tests) a temporary one."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a temporary one if all runs in this process (as
+    in tests); on a cluster that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     known = spark.sparkContext.getCheckpointDir()
     if known is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         known = spark.sparkContext.getCheckpointDir()
     return known.rstrip("/")
