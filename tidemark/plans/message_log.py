@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from ..operators.sequence import running_sum
 
 def folder(spark: SparkSession) -> str:
-    """A new folder below the shared one, or, where none is named (as in tests), a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+    """A new folder below the shared one, or, where none is named and all runs in this process (as in tests), a temporary one."""
+    root, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not root and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    root = root or tempfile.mkdtemp(prefix="tidemark-")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -703,7 +703,7 @@ def committed_rows(rows: DataFrame, stretch: int = 1 << 24) -> DataFrame:
     A row belongs to the next end that names its xid: a commit or abort names its own and its sub-transactions', an abort of a
     sub-transaction its own, a prepared transaction ends with its commit-prepared. An xid that comes again later is another
     transaction. The next end is carried backwards over stretches of the log, ordinals forwards, so that no transaction,
-    however long, meets in one task.
+    however long, meets in one task. rows are read several times: land them first if they come out of a decoder.
     """
     none = F.expr("cast(array() as array<long>)")
     ends = rows.where(F.col("op").isin("commit", "commit_prepared", "abort", "abort_prepared"))
