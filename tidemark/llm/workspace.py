@@ -38,7 +38,7 @@ class Workspace:
     """Tables staged as Parquet below the shared folder. A lost executor costs a task of the writer, never the table."""
 
     def __init__(self, spark: SparkSession, purpose: str) -> None:
-        self.spark, self.root, self.leaves = spark, f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}", False
+        self.spark, self.root, self.leaves, self.staged = spark, f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}", False, 0
 
     def _path(self, name: str = ""):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
@@ -51,6 +51,9 @@ class Workspace:
         if not self.leaves:
             root, files = self._path()
             self.leaves = files.deleteOnExit(root)
+        self.staged += 1
+        if self.staged % 3 == 0:
+            self.release()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
