@@ -11,7 +11,7 @@ from tidemark.functions import typed
 from tidemark.operators import assembly, lookups, rolling
 from tidemark.sources import envelopes, pgoutput
 from tidemark.sources.shared_files import Folder
-from tidemark.streaming import dispatch, host, sinks
+from tidemark.streaming import dispatch, host, listener, sinks
 from tidemark.streaming.assembler import Assembler
 from tidemark.streaming.landed import LandedAssembly
 
@@ -29,7 +29,10 @@ def test_landed_assembly_equals_the_state_machine(spark, tmp_path):
             run(batch, number)
     out = run.out(spark).select("txn_key", "mode", "gid", "commit_lsn", "end_lsn", "end_seq", "expected_changes", "ord", "seq", "kind", "stream_xid").collect()
     assert sorted(map(repr, map(tuple, out))) == sorted(map(repr, want))
-    still = spark.read.parquet(f"{tmp_path}/open/batch={len(cuts) - 2}")
+    last = len(cuts) - 2
+    begun = {m["seq"] for m in messages[: cuts[2]] if m["kind"] in "SBb"}
+    assert {r["seq"] for r in run.stale(spark, last, last - 2).collect()} <= begun
+    still = spark.read.parquet(f"{tmp_path}/open/batch={last}")
     assert still.count() <= sum(m["kind"] in "SAbPpB" for m in messages)
 
 
@@ -94,6 +97,16 @@ def test_published_batches(spark, tmp_path):
     assert Folder(spark, f"{tmp_path}/job").read(names[1]) == b"b"
 
 
+def test_lines_metrics_and_heartbeats(spark, tmp_path):
+    sinks.once(str(tmp_path), sinks.lines(f"{tmp_path}/log", ["n"]))(spark.createDataFrame([(2, "b"), (1, "a"), (3, "c")], "n int, line string"), 7)
+    assert [r["value"] for r in spark.read.text(f"{tmp_path}/log/batch=000000000007").collect()] == ["a", "b", "c"]
+    m = listener.Metrics()
+    m.publish(Folder(spark, str(tmp_path)))
+    assert Folder(spark, str(tmp_path)).read("metrics.json") == b"{}"
+    beat = dispatch.heartbeat(spark, "srv", 5_000_000, 77).select("topic", "value", dispatch.resume_position(F.col("offset")).alias("o")).first()
+    assert beat["topic"] == "srv.heartbeat" and beat["value"] == '{"ts_ms":5000}' and beat["o"]["lsn_commit"] == 77
+
+
 def test_a_query_is_drained_or_stopped(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "in"))
     start = lambda name: spark.readStream.schema("id long").parquet(str(tmp_path / "in")).writeStream.format("memory").queryName(name).start()
@@ -150,4 +163,5 @@ def test_values_that_are_none_of_their_type(spark):
     assert all(v is None for v in df.select(*(c.alias(f"c{k}") for k, c in enumerate(null))).first())
     r = df.select(typed.text_array(F.lit("{}")).alias("a"), typed.text_array(F.lit('[2:3]={"",NULL}')).alias("b"), typed.date_days(F.lit("0001-12-31 BC")).alias("c"), typed.timestamp_micros(F.lit("1969-12-31 23:59:59.9999999Z")).alias("d")).first()
     assert tuple(r) == ([], ["", None], -719163, -1)
+    assert [r[0] for r in spark.createDataFrame([("a", 25), (None, 20)], "t string, o long").select(typed.mapped(F.col("t"), F.col("o"), lambda oid, t: f"{oid}:{t}")).collect()] == ["25:a", "20:None"]
     assert SCHEMA

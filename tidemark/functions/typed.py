@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,6 +65,16 @@ def typed_view(changes, columns: list[dict], image: str = "after", as_string: bo
     return changes.select("*", *((text(c) if as_string else typed_value(text(c), c["type_oid"], c.get("typmod", -1))).alias(c["name"]) for c in columns))
 
 
+def mapped(text: Column, oid: Column, mapper: Callable[[int, str | None], str | None]) -> Column:
+    """Values as a caller's own function of type and text gives them, by Arrow batches."""
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, oids in batches:
+            yield pd.Series([mapper(int(o), None if t is None or t is pd.NA else t) for t, o in zip(texts, oids, strict=True)], index=texts.index, dtype=object)
+
+    return F.pandas_udf(run, "string")(text, oid)
+
+
 def decimal_mode(value: Column, mode: str) -> Column:
     """precise: decimal(38,18), null beyond it; variable: see variable_decimal; double: nearest; string: text."""
     return {"precise": value.try_cast("decimal(38,18)"), "variable": variable_decimal(value), "double": value.try_cast("double"), "string": value.cast("string")}[mode]

@@ -48,6 +48,14 @@ def distribution(df: DataFrame, value: str, by: list[str], exact: bool = False)
     return df.groupBy(*by).agg(q(0.9).alias("p90"), q(0.95).alias("p95"), F.max(value).alias("max"))
 
 
+def interval_distribution(df: DataFrame, ts: str, seconds: int, value: str, by: list[str] | None = None) -> DataFrame:
+    """(start, n, p90, p95, max) of each interval, with two significant digits: what a status line reports. Sketches, so any
+    volume; on a stream, behind a watermark, intervals come out as they close."""
+    q = lambda p: F.percentile_approx(value, p, 10_000)
+    grouped = df.groupBy(F.window(ts, f"{seconds} seconds").alias("w"), *(by or [])).agg(F.count(F.lit(1)).alias("n"), q(0.9).alias("p90"), q(0.95).alias("p95"), F.max(value).alias("max"))
+    return grouped.select(*(by or []), F.col("w.start").alias("start"), "n", *(two_digits(F.col(c)).alias(c) for c in ("p90", "p95", "max")))
+
+
 def session_maximum(df: DataFrame, value: str, at: str, by: list[str]) -> DataFrame:
     """The largest value so far at each report."""
     return df.withColumn("session_max", F.max(value).over(Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)))

@@ -70,9 +70,14 @@ def as_of_join(left: DataFrame, versions: DataFrame, key: str, seq: str, value:
 
 
 def versions_for(units: DataFrame, versions: DataFrame, key: str, owner: str, seq: str = "seq") -> DataFrame:
-    """The version prefix that a transaction needs: for every (owner, key) it touches, versions up to its last unit."""
-    touched = units.groupBy(owner).agg(F.max(seq).alias("_last")).join(units.select(owner, key).distinct(), owner)
-    return touched.join(versions, key).where(F.col(seq) <= F.col("_last")).drop("_last")
+    """(owner, key, n_versions, latest): the version prefix that a transaction needs of every key it touches, up to its last unit.
+
+    A prefix is told by its length and its last version, so a key's history is never repeated for each transaction; rows of it
+    are versions numbered (running_sum) up to n_versions. Keys without a version by then have no row.
+    """
+    numbered = running_sum(versions.select(key, seq), F.lit(1), "_n", [key], seq).withColumn("_prefix", F.struct(F.col("_n").alias("n_versions"), F.col(seq).alias("latest")))
+    touched = units.groupBy(owner).agg(F.max(seq).alias(seq)).join(units.select(owner, key).distinct(), owner)
+    return as_of_join(touched, numbered, key, seq, "_prefix", "_prefix").where("_prefix is not null").select(owner, key, "_prefix.*")
 
 
 def prune_versions(versions: DataFrame, key: str, low: Column, seq: str = "seq") -> DataFrame:

@@ -173,13 +173,13 @@ def asof_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""with v as (select user_id as oid, event_id as seq from events where event_type='signup'), u as (select event_id // 100 as owner, user_id as oid, event_id as seq from events where event_type in ('view','click','purchase')),
- t as (select owner, max(seq) as last from u group by 1) select d.owner, v.oid, v.seq from (select distinct owner, oid from u) d join t on t.owner = d.owner join v on v.oid = d.oid and v.seq <= t.last""")
+ t as (select owner, max(seq) as last from u group by 1) select d.owner, v.oid, count(*) as n_versions, max(v.seq) as latest from (select distinct owner, oid from u) d join t on t.owner = d.owner join v on v.oid = d.oid and v.seq <= t.last group by 1, 2""")
 def relation_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versions that a transaction takes along."""
+    """Versions that a transaction takes along: how many of each table's, from the first on, and the latest."""
     events = read(spark, sf_dir, "events")
     units = events.where("event_type in ('view','click','purchase')").select(F.floor(F.col("event_id") / 100).alias("owner"), F.col("user_id").alias("oid"), F.col("event_id").alias("seq"))
     versions = events.where("event_type = 'signup'").select(F.col("user_id").alias("oid"), F.col("event_id").alias("seq"))
-    return sequence.versions_for(units, versions, "oid", "owner").select("owner", "oid", "seq")
+    return sequence.versions_for(units, versions, "oid", "owner").select("owner", "oid", "n_versions", "latest")
 
 
 @query("""with v as (select user_id as oid, event_id as seq from events where event_type='signup'), f as (select oid, max(seq) as f from v where seq <= (select max(event_id) // 2 from events) group by 1)
@@ -194,7 +194,7 @@ def relation_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""select user_id, event_id, event_type, value from (select *, row_number() over (partition by user_id order by event_id desc) as r from events) where r = 1 and event_type <> 'purchase'""")
 def latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dictionary after all changes; a purchase removes its key."""
+    """The dictionary after all changes; a purchase removes its key."""
     rows = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
     return sequence.latest_by_key(rows, ["user_id"], "event_id", F.col("event_type") == "purchase")
 

@@ -94,7 +94,7 @@ def sql_delete_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""select n_regionkey, 'TRUNCATE TABLE ' || string_agg('"db"."' || n_name || '"', ', ' order by n_nationkey) || case when n_regionkey % 2 = 0 then ' RESTART IDENTITY' else '' end || case when n_regionkey > 2 then ' CASCADE' else '' end || ';' as stmt from nation group by 1""")
 def sql_truncate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TRUNCATE of several tables with options."""
+    """TRUNCATE of several tables with options (K6)."""
     n = read(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", sql_text.table_name(F.lit("db"), F.col("n_name")).alias("t")))), lambda x: x["t"]).alias("tables"))
     return n.select("n_regionkey", sql_text.truncate(F.col("tables"), F.col("n_regionkey") > 2, F.col("n_regionkey") % 2 == 0).alias("stmt"))
 

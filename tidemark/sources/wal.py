@@ -6,9 +6,11 @@ heads are few, and are put together by a grouping afterwards, so no task needs t
 
 from __future__ import annotations
 
+import ipaddress
+import json
 import struct
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, replace
 from operator import itemgetter
 
@@ -175,14 +177,17 @@ def read_records(segments: DataFrame, segment_bytes: int = 16 << 20, layout: Lay
                 yield pa.RecordBatch.from_arrays([pa.array([number] * len(lsns), pa.int64()), pa.array(kinds, pa.string()), pa.array(lsns, pa.int64()), pa.array(raws, pa.binary())], schema=schema)
 
     parts = segments.select("segment_no", "content").mapInArrow(parse, "segment_no long, kind string, lsn long, raw binary")
-    whole = parts.where("kind = 'record'").select("lsn", "raw")
-    # A few rows a segment; numbered in stretches of 4096 segments.
-    pieces = running_sum(parts.where("kind in ('head', 'tail')").withColumn("all", F.lit(0)), (F.col("kind") == "tail").cast("int"), "number", ["all"], "lsn", segment_bytes << 12)
+    records = parts.where("kind = 'record'").select("lsn", "raw").unionByName(_glued(parts.where("kind in ('head', 'tail')"), segment_bytes))
+    return records if end_lsn is None else records.where(F.col("lsn") < end_lsn)
+
+
+def _glued(parts: DataFrame, segment_bytes: int) -> DataFrame:
+    """(lsn, raw) of the records whose heads and tails these are: a few rows a segment, numbered in stretches of 4096 segments."""
+    pieces = running_sum(parts.withColumn("all", F.lit(0)), (F.col("kind") == "tail").cast("int"), "number", ["all"], "lsn", segment_bytes << 12)
     joined = pieces.where("number > 0").groupBy("number").agg(F.sort_array(F.collect_list(F.struct("lsn", "raw"))).alias("p"))
     glued = joined.select(F.col("p")[0]["lsn"].alias("lsn"), joined_bytes("p", "raw").alias("raw"))
     size = F.conv(F.concat(*(F.hex(F.substring("raw", k, 1)) for k in (4, 3, 2, 1))), 16, 10).cast("long")
-    records = whole.unionByName(glued.where(F.length("raw") == size))
-    return records if end_lsn is None else records.where(F.col("lsn") < end_lsn)
+    return glued.where(F.length("raw") == size)
 
 
 HEALTH = ("records", "heads", "tails", "lost", "lost_bytes", "zero_pages")
@@ -288,7 +293,7 @@ class Attribute:
 
 
 # Storage length and alignment of types.
-STORAGE = {16: (1, 1), 18: (1, 1), 21: (2, 2), 23: (4, 4), 20: (8, 8), 26: (4, 4), 700: (4, 4), 701: (8, 8), 1082: (4, 4), 1083: (8, 8), 1114: (8, 8), 1184: (8, 8), 1266: (12, 8), 2950: (16, 1), 19: (64, 1)}
+STORAGE = {16: (1, 1), 18: (1, 1), 21: (2, 2), 23: (4, 4), 20: (8, 8), 26: (4, 4), 700: (4, 4), 701: (8, 8), 1082: (4, 4), 1083: (8, 8), 1114: (8, 8), 1184: (8, 8), 1266: (12, 8), 2950: (16, 1), 19: (64, 1), 28: (4, 4), 29: (4, 4), 27: (6, 2), 600: (16, 8), 790: (8, 8), 829: (6, 4), 774: (8, 4), 1186: (16, 8), 5069: (8, 8)}
 
 
 def attribute(name: str, type_oid: int) -> Attribute:
@@ -480,10 +485,29 @@ def disk_text(oid: int, raw: bytes) -> str:
         return disk_numeric(raw)
     if oid == 19:
         return raw.split(b"\0")[0].decode()
-    if oid in (21, 23, 20, 26, 700, 701, 1082, 1083, 1114, 1184):
+    if oid in (21, 23, 20, 26, 28, 29, 700, 701, 1082, 1083, 1114, 1184):
         return pgvalues.binary_text(oid, raw[::-1])
     if oid == 1266:
         return pgvalues.binary_text(oid, raw[7::-1] + raw[:7:-1])
+    if oid == 1186:
+        return pgvalues.interval_text(*struct.unpack("<qii", raw))
+    if oid == 5069:
+        return str(int.from_bytes(raw, "little"))
+    if oid == 790:  # cents, without a locale's sign
+        cents = int.from_bytes(raw, "little", signed=True)
+        return f"{'-' if cents < 0 else ''}{abs(cents) // 100}.{abs(cents) % 100:02d}"
+    if oid == 600:
+        return "({},{})".format(*(pgvalues.float_text(x, 15) for x in struct.unpack("<dd", raw)))
+    if oid == 27:
+        high, low, place = struct.unpack("<HHH", raw)
+        return f"({high << 16 | low},{place})"
+    if oid in (829, 774):
+        return raw.hex(":")
+    if oid in (1560, 1562):
+        return "".join(f"{x:08b}" for x in raw[4:])[: struct.unpack_from("<i", raw)[0]]
+    if oid in (869, 650):
+        address = ipaddress.ip_address(raw[2 : 6 if raw[0] == 2 else 18])
+        return f"{address}/{raw[1]}" if oid == 650 or raw[1] != address.max_prefixlen else str(address)
     return pgvalues.binary_text(oid, raw)
 
 
@@ -550,6 +574,96 @@ def heap_changes(record: dict, layout: Layout = PG17) -> Iterator[dict]:
             yield {"op": op, "node": oid, "cascade": bool(flags & 1), "restart": bool(flags & 2)}
 
 
+# Operations of page pruning and what their flags announce.
+PRUNE_OPS, FREEZES, REDIRECTS, DEAD, UNUSED = (0x10, 0x20, 0x30), 0x10, 0x20, 0x40, 0x80
+
+
+def pruned_items(record: dict) -> Iterator[tuple[str, int, int | None]]:
+    """(op, offset, new offset) of a pruning record: redirects first, then dead and unused line pointers."""
+    main, data, at = record["main"], record["blocks"][0]["data"], 0
+    flags = main[1]
+    if not data:
+        return
+    if flags & FREEZES:
+        at = 4 + 12 * struct.unpack_from("<H", data)[0]
+    for bit, op, width in ((REDIRECTS, "redirect", 2), (DEAD, "dead", 1), (UNUSED, "unused", 1)):
+        if flags & bit:
+            (n,) = struct.unpack_from("<H", data, at)
+            items = struct.unpack_from(f"<{n * width}H", data, at + 2)
+            at += 2 + 2 * n * width
+            for k in range(0, len(items), width):
+                yield op, items[k], items[k + 1] if width == 2 else None
+
+
+def addressed_changes(record: dict, layout: Layout = PG17) -> Iterator[dict]:
+    """Changes of a heap record with the addresses of their rows, as catalogs need them: op, node, block, pos, to (block and pos
+    an update or redirect leads to), new (tuple parts) or data (an in-place row's bytes behind its header)."""
+    main, blocks, info, op = record["main"], record["blocks"], record["info"], record["info"] & 0x70
+    if not blocks or layout.gauss:
+        return
+    node, here = blocks[0]["node"], blocks[0]["number"]
+    if record["rmid"] == RM_HEAP2:
+        if op in PRUNE_OPS:
+            for what, pos, to in pruned_items(record):
+                yield {"op": what, "node": node, "block": here, "pos": pos, "to": None if to is None else (here, to)}
+        elif op == 0x50:
+            (n,) = struct.unpack_from("<H", main, 2)
+            places = range(1, n + 1) if info & 0x80 else struct.unpack_from(f"<{n}H", main, 4)
+            for pos, change in zip(places, heap_changes(record, layout), strict=True):
+                yield {"op": "insert", "node": node, "block": here, "pos": pos, "new": change["new"]}
+        return
+    kind = HEAP_OPS[op]
+    if kind == "inplace":
+        yield {"op": kind, "node": node, "block": here, "pos": struct.unpack_from("<H", main)[0], "data": blocks[0]["data"]}
+        return
+    for change in heap_changes(record, layout):
+        if kind == "insert":
+            yield {"op": kind, "node": node, "block": here, "pos": struct.unpack_from("<H", main)[0], "new": change["new"]}
+        elif kind == "delete":
+            yield {"op": kind, "node": node, "block": here, "pos": struct.unpack_from("<H", main, 4)[0]}
+        elif kind == "update":
+            old, new = struct.unpack_from("<4xH6xH", main)
+            there = next((b["number"] for b in blocks[1:] if b["number"] != here), here)
+            yield {"op": kind, "node": node, "block": there, "pos": old, "to": (here, new), "new": change.get("new")}
+
+
+CATALOG_DDL = "slot int, lsn long, end_lsn long, op string, kind string, block int, pos int, row string, to_block int, to_pos int"
+
+
+def catalog_changes(records: DataFrame, catalogs: dict[int, tuple[str, list[Attribute]]], layout: Layout = PG17, slot: int = 0) -> DataFrame:
+    """Changes of catalog relations (by file node: kind and columns) as streaming.catalog folds them. A row that was cut to its
+    middle has a null row, which a probe may heal."""
+    known = records.sparkSession.sparkContext.broadcast(catalogs)
+    schema = pa.schema([(n, {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}[t]) for n, t in (x.split() for x in CATALOG_DDL.split(", "))])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for lsn, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if raw[layout.info_at + 1] not in (RM_HEAP, RM_HEAP2):
+                    continue
+                record = parse_record(raw, layout)
+                for x in addressed_changes(record, layout):
+                    if x["node"] not in known.value:
+                        continue
+                    kind, attributes = known.value[x["node"]]
+                    values = None
+                    if x.get("new"):
+                        values = decode_tuple(*x["new"], attributes)
+                    elif x.get("data"):
+                        values = decode_tuple(len(attributes), 0, 24, b"\0" + x["data"], attributes)
+                    row = None if values is None else json.dumps({a.name: _json_value(a, v) for a, v in zip(attributes, values, strict=True)})
+                    to = x.get("to") or (None, None)
+                    out.append({"slot": slot, "lsn": lsn, "end_lsn": lsn + _aligned(len(raw)), "op": x["op"], "kind": kind, "block": x["block"], "pos": x["pos"], "row": row, "to_block": to[0], "to_pos": to[1]})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return records.select("lsn", "raw").mapInArrow(read, CATALOG_DDL)
+
+
+def _json_value(a: Attribute, text: object) -> object:
+    return int(text) if isinstance(text, str) and a.type_oid in (20, 21, 23, 26) else text if isinstance(text, str) else None
+
+
 def xact_event(record: dict, layout: Layout = PG17) -> dict:
     """op, time, sub-transactions, two-phase xid and gid of a transaction record."""
     op, main = XACT_OPS.get(record["info"] & 0x70), record["main"]
@@ -623,80 +737,129 @@ def _gauss_xact_event(record: dict) -> dict:
 ROWS_DDL = f"lsn long, xid long, top_xid long, op string, node long, ord int, old array<string>, new array<string>, unchanged array<int>, pointers array<{POINTER}>, cascade boolean, restart boolean, subs array<long>, gid string, ts_us long"
 
 
+def _row_schema() -> pa.Schema:
+    pointer = pa.struct([("place", pa.int32()), *((n, pa.int64()) for n in ("raw_size", "stored_size", "value_id", "relation"))])
+    fields = [("lsn", pa.int64()), ("xid", pa.int64()), ("top_xid", pa.int64()), ("op", pa.string()), ("node", pa.int64()), ("ord", pa.int32()), ("old", pa.list_(pa.string())), ("new", pa.list_(pa.string())), ("unchanged", pa.list_(pa.int32())), ("pointers", pa.list_(pointer)), ("cascade", pa.bool_()), ("restart", pa.bool_()), ("subs", pa.list_(pa.int64())), ("gid", pa.string()), ("ts_us", pa.int64())]
+    return pa.schema(fields)
+
+
+class _RowReader:
+    """Records to row changes and transaction events, as Arrow columns."""
+
+    def __init__(self, relations: dict[int, list[Attribute]], layout: Layout) -> None:
+        self.decoders = {node: TupleDecoder(attributes) for node, attributes in relations.items()}
+        self.layout, self.schema = layout, _row_schema()
+
+    def __call__(self, records: Iterable[tuple[int, bytes]]) -> list[pa.Array]:
+        decoders, layout, schema = self.decoders, self.layout, self.schema
+        names = [f.name for f in schema]
+        columns: dict[str, list] = {n: [] for n in names}
+        lsns, xids, ops, nodes, ords, olds, news, lacks, points = (columns[n] for n in ("lsn", "xid", "op", "node", "ord", "old", "new", "unchanged", "pointers"))
+        rest = [columns[n] for n in names if n not in ("lsn", "xid", "op", "node", "ord", "old", "new", "unchanged", "pointers")]
+        more: list[tuple[int, dict]] = []  # (row, fields that few rows have)
+
+        def add(lsn: int, xid: int, op: str, node: int | None, k: int | None, old: list | None, new: list | None) -> None:
+            lsns.append(lsn)
+            xids.append(xid)
+            ops.append(op)
+            nodes.append(node)
+            ords.append(k)
+            olds.append(old)
+            news.append(new)
+            if new is None:
+                lacks.append(None)
+                points.append(None)
+            elif tuple in map(type, new):
+                away = [n for n, v in enumerate(new) if type(v) is tuple]
+                lacks.append(away)
+                points.append([dict(zip(("place", "raw_size", "stored_size", "value_id", "relation"), (n, *new[n][1:]), strict=True)) for n in away])
+                news[-1] = [None if type(v) is tuple else v for v in new]
+            else:
+                lacks.append([])
+                points.append([])
+
+        for lsn, raw in records:
+            rmid = raw[layout.info_at + 1]
+            if rmid not in (RM_XACT, RM_HEAP, RM_HEAP2):
+                continue
+            if rmid == RM_HEAP and (quick := _plain_insert(raw, layout)):
+                xid, node, at = quick
+                if node in decoders:
+                    add(lsn, xid, "insert", node, 0, None, decoders[node](raw, at))
+                continue
+            record = parse_record(raw, layout)
+            if rmid == RM_XACT:
+                event = xact_event(record, layout)
+                xid = event.pop("two_phase_xid") or record["xid"]
+                more.append((len(lsns), {k: v for k, v in event.items() if k != "op"}))
+                add(lsn, xid, event["op"], None, None, None, None)
+                continue
+            for k, change in enumerate(heap_changes(record, layout)):
+                decoder = decoders.get(change["node"])
+                if decoder is None and change["op"] != "truncate":
+                    continue
+                old, new = (decoder.parts(*change[x]) if change.get(x) else None for x in ("old", "new"))
+                if change["op"] == "truncate" or record["top_xid"] is not None:
+                    more.append((len(lsns), {"cascade": change.get("cascade"), "restart": change.get("restart"), "top_xid": record["top_xid"]}))
+                add(lsn, record["xid"], change["op"], change["node"], k, old and [None if type(v) is tuple else v for v in old], new)
+        for c in rest:
+            c.extend([None] * len(lsns))
+        for row, fields in more:
+            for name, value in fields.items():
+                columns[name][row] = value
+        return [pa.array(columns[f.name], f.type) for f in schema]
+
+
 def decode_rows(records: DataFrame, relations: dict[int, list[Attribute]], layout: Layout = PG17) -> DataFrame:
     """Row changes of known relations (by file node) and transaction events of (lsn, raw) records.
 
     A value stored elsewhere is null here, its place is listed in unchanged and where it is stored in pointers; see with_stored.
     """
     known = records.sparkSession.sparkContext.broadcast(relations)
-    pointer = pa.struct([("place", pa.int32()), *((n, pa.int64()) for n in ("raw_size", "stored_size", "value_id", "relation"))])
-    fields = [("lsn", pa.int64()), ("xid", pa.int64()), ("top_xid", pa.int64()), ("op", pa.string()), ("node", pa.int64()), ("ord", pa.int32()), ("old", pa.list_(pa.string())), ("new", pa.list_(pa.string())), ("unchanged", pa.list_(pa.int32())), ("pointers", pa.list_(pointer)), ("cascade", pa.bool_()), ("restart", pa.bool_()), ("subs", pa.list_(pa.int64())), ("gid", pa.string()), ("ts_us", pa.int64())]
-    schema = pa.schema(fields)
-
-    names = [f.name for f in schema]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoders = {node: TupleDecoder(attributes) for node, attributes in known.value.items()}
+        reader = _RowReader(known.value, layout)
         for b in batches:
-            columns: dict[str, list] = {n: [] for n in names}
-            lsns, xids, ops, nodes, ords, olds, news, lacks, points = (columns[n] for n in ("lsn", "xid", "op", "node", "ord", "old", "new", "unchanged", "pointers"))
-            rest = [columns[n] for n in names if n not in ("lsn", "xid", "op", "node", "ord", "old", "new", "unchanged", "pointers")]
-            more: list[tuple[int, dict]] = []  # (row, fields that few rows have)
-
-            def add(lsn: int, xid: int, op: str, node: int | None, k: int | None, old: list | None, new: list | None) -> None:
-                lsns.append(lsn)
-                xids.append(xid)
-                ops.append(op)
-                nodes.append(node)
-                ords.append(k)
-                olds.append(old)
-                news.append(new)
-                if new is None:
-                    lacks.append(None)
-                    points.append(None)
-                elif tuple in map(type, new):
-                    away = [n for n, v in enumerate(new) if type(v) is tuple]
-                    lacks.append(away)
-                    points.append([dict(zip(("place", "raw_size", "stored_size", "value_id", "relation"), (n, *new[n][1:]), strict=True)) for n in away])
-                    news[-1] = [None if type(v) is tuple else v for v in new]
-                else:
-                    lacks.append([])
-                    points.append([])
-
-            for lsn, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rmid = raw[layout.info_at + 1]
-                if rmid not in (RM_XACT, RM_HEAP, RM_HEAP2):
-                    continue
-                if rmid == RM_HEAP and (quick := _plain_insert(raw, layout)):
-                    xid, node, at = quick
-                    if node in decoders:
-                        add(lsn, xid, "insert", node, 0, None, decoders[node](raw, at))
-                    continue
-                record = parse_record(raw, layout)
-                if rmid == RM_XACT:
-                    event = xact_event(record, layout)
-                    xid = event.pop("two_phase_xid") or record["xid"]
-                    more.append((len(lsns), {k: v for k, v in event.items() if k != "op"}))
-                    add(lsn, xid, event["op"], None, None, None, None)
-                    continue
-                for k, change in enumerate(heap_changes(record, layout)):
-                    decoder = decoders.get(change["node"])
-                    if decoder is None and change["op"] != "truncate":
-                        continue
-                    old, new = (decoder.parts(*change[x]) if change.get(x) else None for x in ("old", "new"))
-                    if change["op"] == "truncate" or record["top_xid"] is not None:
-                        more.append((len(lsns), {"cascade": change.get("cascade"), "restart": change.get("restart"), "top_xid": record["top_xid"]}))
-                    add(lsn, record["xid"], change["op"], change["node"], k, old and [None if type(v) is tuple else v for v in old], new)
-            for c in rest:
-                c.extend([None] * len(lsns))
-            for row, fields in more:
-                for name, value in fields.items():
-                    columns[name][row] = value
-            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+            yield pa.RecordBatch.from_arrays(reader(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)), schema=reader.schema)
 
     return records.select("lsn", "raw").mapInArrow(decode, ROWS_DDL)
 
 
+def read_rows(segments: DataFrame, relations: dict[int, list[Attribute]], land: Callable[[DataFrame], DataFrame], segment_bytes: int = 16 << 20, layout: Layout = PG17, records: int = 20_000) -> DataFrame:
+    """decode_rows of read_records in one pass over the segments: only what crosses a segment's end leaves the pass as bytes.
+
+    land writes a table and reads it back (the rows are read several times afterwards, the pieces of records once more).
+    """
+    known = segments.sparkSession.sparkContext.broadcast(relations)
+    extra = [("kind", pa.string()), ("raw", pa.binary())]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _RowReader(known.value, layout)
+        schema = pa.schema([*reader.schema, *(pa.field(*x) for x in extra)])
+
+        def rows(held: list[tuple[int, bytes]]) -> pa.RecordBatch:
+            columns = reader(held)
+            return pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(columns[0]), t) for _, t in extra)], schema=schema)
+
+        for b in batches:
+            for number, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                held, pieces = [], []
+                for kind, lsn, raw in walk(content, number * segment_bytes, layout):
+                    if kind == "record":
+                        held.append((lsn, raw))
+                        if len(held) == records:
+                            yield rows(held)
+                            held = []
+                    elif kind != "lost":
+                        pieces.append({"lsn": lsn, "kind": kind, "raw": raw})
+                yield rows(held)
+                yield pa.RecordBatch.from_pylist(pieces, schema=schema)
+
+    parts = land(segments.select("segment_no", "content").mapInArrow(read, f"{ROWS_DDL}, kind string, raw binary"))
+    whole = parts.where("kind is null").drop("kind", "raw")
+    return whole.unionByName(decode_rows(_glued(parts.where("kind is not null").select("kind", "lsn", "raw"), segment_bytes), relations, layout))
+
+
 def committed_rows(rows: DataFrame, stretch: int = 1 << 24) -> DataFrame:
     """Row changes of committed transactions with commit_lsn, txn_xid and their ordinal in it, by position in the log.
 
@@ -712,12 +875,14 @@ def committed_rows(rows: DataFrame, stretch: int = 1 << 24) -> DataFrame:
     ends = named.withColumn("gid", F.coalesce("gid", F.when(F.col("op").endswith("prepared"), F.col("_gid"))))
     end = F.struct(F.col("op").startswith("commit").alias("kept"), F.col("lsn").alias("commit_lsn"), F.col("xid").alias("txn_xid"), "gid", "ts_us")
     members = ends.select(end.alias("_end"), (-F.col("lsn")).alias("_behind"), F.explode(F.array_distinct(F.concat(F.array("xid"), F.coalesce("subs", none)))).alias("xid"))
-    changes = rows.where(F.col("op").isin("insert", "update", "delete", "truncate", "skipped_update")).drop("gid", "ts_us", "subs").withColumn("_behind", -F.col("lsn"))
-    ended = as_of_join(changes, members, "xid", "_behind", "_end", "_end", stretch).where("_end.kept")
-    flat = ended.select(*(c for c in changes.columns if c != "_behind"), *(F.col(f"_end.{c}").alias(c) for c in ("commit_lsn", "txn_xid", "gid", "ts_us")))
+    # Only places and ids travel; the rows themselves are joined to what is left, once.
+    changes = rows.where(F.col("op").isin("insert", "update", "delete", "truncate", "skipped_update")).drop("gid", "ts_us", "subs")
+    slim = changes.select("lsn", "ord", "xid", (-F.col("lsn")).alias("_behind"))
+    ended = as_of_join(slim, members, "xid", "_behind", "_end", "_end", stretch).where("_end.kept")
+    flat = ended.select("lsn", "ord", *(F.col(f"_end.{c}").alias(c) for c in ("commit_lsn", "txn_xid", "gid", "ts_us")))
     # A record has fewer than 1024 changes: more tuples don't fit on a page.
     placed = flat.withColumn("_place", F.col("lsn") * 1024 + F.col("ord"))
-    return running_sum(placed, F.lit(1), "n_in_txn", ["commit_lsn"], "_place", stretch << 10).drop("_place")
+    return changes.join(running_sum(placed, F.lit(1), "n_in_txn", ["commit_lsn"], "_place", stretch << 10).drop("_place"), ["lsn", "ord"])
 
 
 #: How rows of the relations that hold out-of-line values are stored.
@@ -798,16 +963,19 @@ class SegmentBuilder:
         self.out += struct.pack("<HHIQI4x", self.layout.magic, info, 1, here, rest) + (struct.pack("<QII", 1, self.size, self.layout.page) if long else b"")
 
     def add(self, rmid: int, info: int, xid: int, main: bytes, blocks: list[tuple[int, bytes]] = (), top_xid: int | None = None) -> int:
-        """blocks: (file node, data) or (file node, data, page). Returns the record's position."""
+        """blocks: (file node, data), (file node, data, page) or (file node, data, page or None, block number). Returns the
+        record's position."""
         head, body = b"", b""
-        for k, (node, data, *image) in enumerate(blocks):
+        for k, (node, data, *image) in enumerate((b[0], b[1], *b[2:3]) for b in blocks):
+            number = blocks[k][3] if len(blocks[k]) > 3 else 0
+            image = [x for x in image if x]
             head += struct.pack("<BBH", k, (0x20 if data else 0) | (0x10 if image else 0), len(data))
             gauss = self.layout.gauss
             if image:
                 hole = struct.unpack_from("<HH", image[0], 12)  # lower, upper
                 head += struct.pack("<HH", hole[0], hole[1] - hole[0]) if gauss else struct.pack("<HHB", len(image[0]) - (hole[1] - hole[0]), hole[0], 1)
                 body += image[0][: hole[0]] + image[0][hole[1] :]
-            head += struct.pack("<IIIhIQ", 1663, 5, node, -1, 0, 0) if gauss else struct.pack("<IIII", 1663, 5, node, 0)
+            head += struct.pack("<IIIhIQ", 1663, 5, node, -1, number, 0) if gauss else struct.pack("<IIII", 1663, 5, node, number)
             body += data
         if top_xid is not None:
             head += struct.pack("<BI", 252, top_xid)
@@ -844,7 +1012,7 @@ def build_tuple(values: list[str | None], attributes: list[Attribute]) -> bytes:
         if v is None:
             continue
         if isinstance(v, bytes):
-            body += b"" if v[0] & 1 else bytes(_aligned(len(body) + 23, a.align) - 23 - len(body))
+            body += b"" if a.length < 0 and v[0] & 1 else bytes(_aligned(len(body) + 23, a.align) - 23 - len(body))
             body += v
         elif a.length < 0:
             raw = v.encode()
@@ -870,6 +1038,19 @@ def build_page(items: list[bytes], page: int = 8192) -> bytes:
     return bytes(out)
 
 
+def pack_numeric(text: str) -> bytes:
+    """A decimal text of few digits as it is stored, with its short header, for examples."""
+    wire = pgvalues.numeric_bytes(text)
+    n, weight, sign, scale = struct.unpack_from(">HhHH", wire)
+    groups = struct.unpack_from(f">{n}H", wire, 8)
+    return struct.pack("<H", 0x8000 | (0x2000 if sign else 0) | scale << 7 | weight & 0x7F) + struct.pack(f"<{n}H", *groups)
+
+
+def pack_short(raw: bytes) -> bytes:
+    """A variable-length value of less than 127 bytes with its header."""
+    return bytes([len(raw) + 1 << 1 | 1]) + raw
+
+
 def pack_pglz(raw: bytes, period: int) -> bytes:
     """A compressed stream of a text that repeats its first period bytes, for examples."""
     items: list[bytes | tuple[int, int]] = [raw[k : k + 1] for k in range(period)]

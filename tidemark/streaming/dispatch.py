@@ -6,7 +6,7 @@ out of committed changes by column expressions alone, in batch or in a micro-bat
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sequence import CHUNK, running_sum
@@ -67,6 +67,14 @@ def records(changes: DataFrame, prefix: str, database: str, skipped: tuple[str,
     return data.unionByName(marks)
 
 
+def heartbeat(spark: SparkSession, prefix: str, ts_us: int, lsn: int, name: str = "heartbeat") -> DataFrame:
+    """The record that a quiet stream sends, so that its offset moves: same columns as records()."""
+    at = spark.range(1).select(F.lit(lsn).cast("long").alias("end_lsn"), F.lit(ts_us).cast("long").alias("us"))
+    none = F.lit(None).cast("long")
+    value = F.to_json(F.struct(F.floor(F.col("us") / 1000).alias("ts_ms")))
+    return at.select("end_lsn", F.lit(0).cast("long").alias("place"), F.lit(f"{prefix}.{name}").alias("topic"), F.to_json(F.struct(F.lit(prefix).alias("serverName"))).alias("key"), value.alias("value"), offset(F.col("us"), none, F.col("end_lsn"), F.col("end_lsn"), F.col("end_lsn")).alias("offset"))
+
+
 def log_lines(records_out: DataFrame) -> DataFrame:
     """A line per record, for a log: topic, key and a summary of the envelope."""
     field = lambda path: F.get_json_object("value", path)

@@ -40,6 +40,11 @@ class LandedAssembly:
     def out(self, spark: SparkSession, upto: int = (1 << 62)) -> DataFrame:
         return self._read(spark, "out", OUT, 0, upto).drop("batch")
 
+    def stale(self, spark: SparkSession, number: int, batches: int) -> DataFrame:
+        """Openings of transactions that are still open after batch number and began more than so many batches before."""
+        still = spark.read.schema(CONTROL).parquet(f"{self.path}/open/batch={number}")
+        return still.where(F.col("kind").isin("S", "B", "b") & (F.col("batch") < number - batches)).select("slot", "seq", "kind", "xid", "gid", "batch")
+
     def __call__(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         names = [x.split()[0] for x in CONTROL.split(", ")]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQueryListener
 
+from ..sources.shared_files import Folder
+
 
 class Metrics(StreamingQueryListener):
     """Counts, rates, per-batch peaks and idle heartbeats by query; snapshot() is what a monitor reads."""
@@ -36,6 +39,10 @@ class Metrics(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         self._of(event.id)["error"] = event.exception
 
+    def publish(self, folder: Folder, name: str = "metrics.json") -> None:
+        """The snapshot as a file in a shared folder, for monitors that read files."""
+        folder.publish(name, json.dumps(self.snapshot(), sort_keys=True).encode())
+
     def snapshot(self) -> dict[str, dict]:
         return {k: dict(v) for k, v in self.known.items()}
 

@@ -44,6 +44,16 @@ def change_files(path: str, task: str, encode: Callable[[DataFrame], DataFrame],
     return write
 
 
+def lines(path: str, order: list[str], line: str = "line") -> Callable[[DataFrame, int], int]:
+    """A writer for once(): a batch's lines as text files, in order over the files' names."""
+
+    def write(batch: DataFrame, number: int) -> int:
+        batch.orderBy(*order).select(line).write.mode("overwrite").text(f"{path}/batch={number:012d}")
+        return 1
+
+    return write
+
+
 def sql_scripts(statements: DataFrame, file_number: str = "file_number") -> DataFrame:
     """(file_number, content): statements (txid, lsn, ord, stmt) as scripts, a BEGIN and COMMIT around each transaction."""
     own = statements.groupBy(file_number, "lsn", "txid").agg(F.array_sort(F.collect_list(F.struct("ord", "stmt"))).alias("s"))
