@@ -23,7 +23,7 @@ from tidemark.llm.token_counts import UnigramVocabulary
 from tidemark.llm.warc import record_bytes, salvage
 from tidemark.llm.workspace import Workspace
 
-DATA = "/root/testdata/sf0.01"
+DATA, LARGER = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="the driver's tables are not here")
 
 
@@ -264,14 +264,14 @@ def test_secret_candidates(spark):
         assert all(c["value"] in r["text"].split()[c["at_word"]] for c in r["c"])
 
 
-@needs_data
-@pytest.mark.parametrize("name,target,floor", [("op2_toxicity", "toxic", 0.9), ("op6_quality", "quality", 0.9)])
-def test_held_out_accuracy(spark, name, target, floor):
-    labels = spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id", F.col(target).alias("y"))
-    rows = QUERIES[name](spark, DATA).where("held_out").join(labels, "doc_id").collect()
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="the driver's tables are not here")
+@pytest.mark.parametrize("name,target,floors", [("op2_toxicity", "toxic", (0.99, 0.85)), ("op6_quality", "quality", (0.97, 0.97))])
+def test_held_out_accuracy(spark, name, target, floors):
+    """floors: the share of label 0 and of label 1 that is predicted right at least."""
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet").select("doc_id", F.col(target).alias("y"))
+    rows = QUERIES[name](spark, LARGER).where("held_out").join(labels, "doc_id").collect()
     by = collections.Counter((r["y"], r["predicted"]) for r in rows)
-    recall = [by[k, k] / max(1, by[k, 0] + by[k, 1]) for k in (0, 1)]
-    assert min(recall) >= floor - 0.25 and sum(by[k, k] for k in (0, 1)) / len(rows) >= floor
+    assert all(by[k, k] >= floors[k] * (by[k, 0] + by[k, 1]) for k in (0, 1)), by
 
 
 @needs_data
