@@ -352,3 +352,18 @@ def test_training_and_scoring_use_the_same_values():
     for text in ("an idiot", "idiot idiots " + "word " * 300, "clean stupid " + "word " * 99, "muslim muslim", ""):
         z = model.intercept + sum(model.weights.get(i, 0.0) * v for i, v in zip(*text_features(text), strict=True))
         assert abs(score(text) - 1 / (1 + np.exp(-z))) < 1e-12
+
+
+def test_top_k_in_rounds_and_slices(spark, monkeypatch):
+    """Queries come in slices and blocks in rounds; repeated rows fill several blocks that begin alike."""
+    monkeypatch.setattr(pivot_index, "ROUND_BLOCKS", 2)
+    rng = np.random.default_rng(3)
+    data = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)] + [(7, [1.0] * 8)] * 9 + [(1000 + i, [0.5] * 8) for i in range(9)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    got = [tuple(r) for r in pivot_index.top_k(pivot_index.quantised(df), F.col("id") % 20 == 0, block_rows=4, pivots=3, query_rows=3, query_bytes=200).orderBy("query_id", "rank").collect()]
+    whole = [(i, np.floor(1024 * np.array(v))) for i, v in data]
+    want = []
+    for q, x in sorted(((q, x) for q, x in whole if q % 20 == 0), key=lambda r: r[0]):
+        best = sorted((-int(x @ y), i) for i, y in whole if i != q)[:10]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == want

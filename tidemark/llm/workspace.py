@@ -44,10 +44,12 @@ class Workspace:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df and read it back: cuts its lineage. What is never dropped goes when the driver ends."""
+    def stage(self, df: DataFrame, name: str, rows_held: int | None = None) -> DataFrame:
+        """Write df and read it back: cuts its lineage. What is never dropped goes when the driver ends. rows_held bounds the rows
+        of a row group, so those that a reader holds at a time, where single rows are large."""
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        to = df.write.mode("overwrite")
+        (to.option("parquet.block.row.count.limit", rows_held) if rows_held else to).parquet(path)
         if not self.leaves:
             root, files = self._path()
             self.leaves = files.deleteOnExit(root)
