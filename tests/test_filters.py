@@ -59,3 +59,12 @@ def test_versions(spark):
     got = sorted((r["v"], r["w"]) for r in sequence.as_of_join(left, versions, "oid", "seq", "version", "w", chunk=2).collect())
     assert got == [("a", 100), ("b", 200), ("c", None)]
     assert sorted(r["seq"] for r in sequence.prune_versions(versions, "oid", F.lit(7)).collect()) == [1, 6]
+
+
+def test_figures_round_as_printf_does(spark):
+    """Halves in decimal are seldom halves in binary, and true halves go to the even digit."""
+    values = [1_005_000.0, 1_015_000.0, 1_115_000.0, 8_125_000.0, 999_995_000.0, 1_000_000.0, 1125.0, 2375.0, 0.125, 0.0, 12.345]
+    shown = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(render.rate_text(F.col("v"))).collect()]
+    assert shown == [f"{v / 1e6:.2f}M/s" if v >= 1e6 else f"{v / 1e3:.2f}k/s" if v >= 1e3 else f"{v:.2f}/s" for v in values]
+    row = one(spark, kb=render.bytes_text(F.lit(1152)), mb=render.bytes_text(F.lit((1 << 20) + (1 << 17))), us=render.duration_text(F.lit(1125)))
+    assert tuple(row) == ("1.12KB", "1.12MB", "1.12us")

@@ -61,17 +61,26 @@ def preview(content: Column, printable: int = 64, raw: int = 32) -> Column:
     return F.when(readable, as_text).otherwise(as_hex)
 
 
+def two_places(x: Column) -> Column:
+    """With two decimals, rounded as the stored binary value asks, as C's printf does: format_string rounds the shortest decimal
+    text (1.005, stored a little lower, to 1.01)."""
+    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.format_string("%.2f", x)).otherwise(F.call_function("format_number", x, F.lit("0.00")))
+
+
 def rate_text(per_second: Column) -> Column:
     """1234.5 -> 1.23k/s and so on."""
-    return F.when(per_second >= 1e6, F.format_string("%.2fM/s", per_second / 1e6)).when(per_second >= 1e3, F.format_string("%.2fk/s", per_second / 1e3)).otherwise(F.format_string("%.2f/s", per_second))
+    shown = lambda unit, end: F.concat(two_places(per_second / unit), F.lit(end))
+    return F.when(per_second >= 1e6, shown(1e6, "M/s")).when(per_second >= 1e3, shown(1e3, "k/s")).otherwise(shown(1.0, "/s"))
 
 
 def bytes_text(n: Column) -> Column:
-    return F.when(n >= 1 << 30, F.format_string("%.2fGB", n / float(1 << 30))).when(n >= 1 << 20, F.format_string("%.2fMB", n / float(1 << 20))).when(n >= 1 << 10, F.format_string("%.2fKB", n / 1024.0)).otherwise(F.format_string("%dB", n.cast("long")))
+    shown = lambda unit, end: F.concat(two_places(n / float(unit)), F.lit(end))
+    return F.when(n >= 1 << 30, shown(1 << 30, "GB")).when(n >= 1 << 20, shown(1 << 20, "MB")).when(n >= 1 << 10, shown(1 << 10, "KB")).otherwise(F.format_string("%dB", n.cast("long")))
 
 
 def duration_text(nanos: Column) -> Column:
-    return F.when(nanos >= 1e9, F.format_string("%.2fs", nanos / 1e9)).when(nanos >= 1e6, F.format_string("%.2fms", nanos / 1e6)).when(nanos >= 1e3, F.format_string("%.2fus", nanos / 1e3)).otherwise(F.format_string("%dns", nanos.cast("long")))
+    shown = lambda unit, end: F.concat(two_places(nanos / unit), F.lit(end))
+    return F.when(nanos >= 1e9, shown(1e9, "s")).when(nanos >= 1e6, shown(1e6, "ms")).when(nanos >= 1e3, shown(1e3, "us")).otherwise(F.format_string("%dns", nanos.cast("long")))
 
 
 def temporal_text(ts: Column) -> Column:
