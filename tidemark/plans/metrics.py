@@ -47,9 +47,8 @@ def value_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""with q as (select event_type, quantile_disc(value, 0.9) as p90, quantile_disc(value, 0.95) as p95, max(value) as max from events group by 1),
  s as (select *, pow(10, floor(log10(abs(p90))) - 1) as a, pow(10, floor(log10(abs(p95))) - 1) as b, pow(10, floor(log10(abs(max))) - 1) as c from q) select event_type, round(p90 / a) * a as p90, round(p95 / b) * b as p95, round(max / c) * c as max from s""")
 def value_distribution_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Approximate percentiles with two significant digits, for any volume."""
-    d = metrics.distribution(read(spark, sf_dir, "events"), "value", ["event_type"])
-    return d.select("event_type", *(metrics.two_digits(F.col(c)).alias(c) for c in ("p90", "p95", "max")))
+    """Percentiles with two significant digits, for any volume."""
+    return metrics.distribution(read(spark, sf_dir, "events"), "value", ["event_type"])
 
 
 @query("select user_id, event_id, max(value) over (partition by user_id order by event_id) as session_max from events")
